@@ -24,6 +24,7 @@ from txquality.sources import files, raw_load
 Query = Callable[[SparkSession, str], DataFrame]
 
 INGESTED_AT = datetime(2024, 1, 1, tzinfo=timezone.utc)
+LATER_INGESTED_AT = datetime(2024, 1, 2, tzinfo=timezone.utc)
 FIRST_LOAD_AT = datetime(2024, 1, 3, tzinfo=timezone.utc)
 SECOND_LOAD_AT = datetime(2024, 1, 4, tzinfo=timezone.utc)
 GOLD_AT = datetime(2024, 1, 5, tzinfo=timezone.utc)
@@ -69,16 +70,18 @@ def plain_types(df: DataFrame) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.raw_transactions(spark, sf_dir).select(*schemas.TRANSACTION_COLUMNS)
+    return fixtures.prepared_transactions(spark, sf_dir).select(*schemas.TRANSACTION_COLUMNS)
 
 
 def bronze_tx(spark: SparkSession, sf_dir: str, first_load_only: bool = False) -> DataFrame:
-    """Bronze transactions with the two ingestion times of the derived loads."""
-    loads = fixtures.raw_transactions(spark, sf_dir, first_load_only)
-    audited = bronze.with_audit(bronze.flag_transactions(loads), "orders", INGESTED_AT, RUN_ID)
-    return audited.withColumn(
-        "_ingestion_timestamp", F.when(F.col("copy") == 0, F.lit(INGESTED_AT)).otherwise(F.lit(datetime(2024, 1, 2, tzinfo=timezone.utc)))
-    ).drop("k", "copy")
+    """Bronze transactions of two loads, which differ in ingestion time."""
+    loads = fixtures.prepared_transactions(spark, sf_dir)
+    if first_load_only:
+        loads = loads.filter(F.col("copy") == 0)
+    flagged = bronze.flag_transactions(loads)
+    by_load = F.when(F.col("copy") == 0, F.lit(INGESTED_AT)).otherwise(F.lit(LATER_INGESTED_AT))
+    audited = bronze.with_audit(flagged, "orders", INGESTED_AT, RUN_ID)
+    return audited.withColumn("_ingestion_timestamp", by_load).drop("k", "copy")
 
 
 def bronze_cust(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +132,7 @@ def scan_jsonl_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_folder_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries in folders of their own, each read whole, then united."""
     path = scratch_path(spark, "deliveries")
-    loads = fixtures.raw_transactions(spark, sf_dir).withColumn(
+    loads = fixtures.prepared_transactions(spark, sf_dir).withColumn(
         "delivery", F.when(F.col("copy") == 0, "first").otherwise("later")
     )
     write_csv(loads.select(*schemas.TRANSACTION_COLUMNS, "delivery"), path, "delivery")
@@ -149,7 +152,7 @@ def _loaded(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     )
     group = fixtures.LOAD_GROUP + " as load_group"
     cells = [amount if name == "amount" else name for name in schemas.TRANSACTION_COLUMNS]
-    write_csv(fixtures.raw_transactions(spark, sf_dir).selectExpr(*cells, group), path, "load_group")
+    write_csv(fixtures.prepared_transactions(spark, sf_dir).selectExpr(*cells, group), path, "load_group")
     table = scratch_path(spark, "raw-table")
     report = raw_load.load_table(spark, path, schemas.TRANSACTIONS, table, "load-1", "*/*.csv")
     return table, report

@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txquality.session import scratch_path
+from txquality.sources.files import if_present
+
 HOUR_MINUTE = (
     "'T' || lpad(cast(k % 24 as string), 2, '0') || ':' || lpad(cast(k % 60 as string), 2, '0') || ':00'"
 )
@@ -77,13 +80,12 @@ CUSTOMER = {
 COPIES = "case when k % 60 = 0 then array(0, 1, 2) when k % 20 = 0 then array(0, 1) else array(0) end"
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str, first_load_only: bool = False) -> DataFrame:
+def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """17 raw columns, ``_ingestion_timestamp``, and the key ``k`` and ``copy``."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
         "*", "o_orderkey as k", "cast(o_orderdate as date) as d"
     )
-    versions = orders.selectExpr("*", "0 as copy") if first_load_only else orders.selectExpr("*", f"explode({COPIES}) as copy")
-    return versions.selectExpr(
+    return orders.selectExpr("*", f"explode({COPIES}) as copy").selectExpr(
         *(f"{expression} as {name}" for name, expression in TRANSACTION.items()),
         f"{INGESTED} as _ingestion_timestamp",
         "k",
@@ -91,6 +93,25 @@ def raw_transactions(spark: SparkSession, sf_dir: str, first_load_only: bool = F
     )
 
 
+_PREPARED: dict[tuple[str, str], str] = {}
+
+
+def prepared_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived rows as a stored table, made once per session and folder.
+
+    Queries then read a raw table as they would in use. The orders file is one
+    split, so rows are spread by key for the tables that are read from here.
+    """
+    made_in = (spark.sparkContext.applicationId, sf_dir)
+    path = _PREPARED.get(made_in)
+    found = if_present(lambda: spark.read.parquet(path)) if path else None
+    if found is None:
+        path = _PREPARED[made_in] = scratch_path(spark, "raw-transactions")
+        raw_transactions(spark, sf_dir).repartition("k").write.parquet(path)
+        found = spark.read.parquet(path)
+    return found
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
         "*", "explode(case when c_custkey % 500 = 1 then array(0, 1) else array(0) end) as copy"

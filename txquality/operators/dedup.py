@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def newest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
     """The first row of each key in the given order; NULL keys form one group.
 
-    Remaining columns break ties, so a task that is run again keeps the same
+    All other columns break ties, so a task that is run again keeps the same
     row. The planner limits groups to one row per task before the shuffle and
     once more after it, so a key with very many versions never meets in one task.
     """

@@ -51,6 +51,8 @@ def enriched(newest: DataFrame, loaded_at: datetime) -> DataFrame:
         "total_with_fees": F.col("amount") + fee,
         "is_completed": F.when(F.col("status") == "COMPLETED", True).otherwise(False),
         "is_failed": F.when(F.col("status").isin(*schemas.FAILED_STATUSES), True).otherwise(False),
+        "transaction_day": dates.day_start("transaction_date"),
+        "transaction_month": dates.month_start("transaction_date"),
         "settlement_days": dates.calendar_days("transaction_date", "settlement_date"),
         "_silver_loaded_at": F.lit(loaded_at),
         "_bronze_ingested_at": F.col("_ingestion_timestamp"),
@@ -60,11 +62,16 @@ def enriched(newest: DataFrame, loaded_at: datetime) -> DataFrame:
     )
 
 
+# staging columns Silver does not keep, or derives again after the shuffle
+NOT_SHUFFLED = (
+    *schemas.TRANSACTION_FLAGS, "_pipeline_layer", "_pipeline_version", "_run_id",
+    "transaction_day", "transaction_month",
+)
+
+
 def silver(staged: DataFrame, loaded_at: datetime) -> DataFrame:
     """Silver rows of a staged load. One shuffle, on the transaction id."""
-    # the staging columns Silver does not use are left out of sort and shuffle
-    used = staged.drop(*schemas.TRANSACTION_FLAGS, "_pipeline_layer", "_pipeline_version", "_run_id")
-    return enriched(newest_versions(valid_rows(used)), loaded_at)
+    return enriched(newest_versions(valid_rows(staged.drop(*NOT_SHUFFLED))), loaded_at)
 
 
 def run_silver(
@@ -87,5 +94,6 @@ def run_silver(
     current = published(spark, table)
     rows = load if current is None else merge(current, load, schemas.SILVER_KEY, source_is_unique=True)
     if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        buckets = int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
     return publish(rows, table, location, snapshot_id, schemas.SILVER_KEY, buckets)
