@@ -436,7 +436,7 @@ def _expectation_queries() -> dict[str, str]:
             "expect_no_nulls",
             ("no_nulls(transaction_id, mostly=0.99)", "transaction_id", 0.99, _nulls("bronze", "transaction_id", 0.99)),
             ("no_nulls(amount, mostly=0.99)", "amount", 0.99, _nulls("bronze", "amount", 0.99)),
-            ("no_nulls(absent, mostly=1.0)", "absent", 1.0, _absent()),
+            ("no_nulls(absent)", "absent", 1.0, _absent()),
         ),
         "expect_unique": checks(
             "expect_unique",

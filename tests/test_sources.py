@@ -1,0 +1,128 @@
+import json
+
+import pytest
+
+from tests.helpers import VALID, raw
+from txquality import schemas
+from txquality.plans.warehouse import run_raw_load
+from txquality.sources import files, raw_load
+
+COLUMNS = schemas.TRANSACTION_COLUMNS
+
+
+def _line(**cells):
+    row = {name: "" for name in COLUMNS} | {k: str(v) for k, v in VALID.items()} | cells
+    return ",".join(row[name] for name in COLUMNS)
+
+
+def _csv(path, *lines, header=",".join(COLUMNS)):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join([header, *lines]) + "\n")
+    return str(path)
+
+
+def test_empty_cells_are_null_and_bad_numbers_keep_the_row(spark, tmp_path):
+    path = _csv(tmp_path / "t.csv", _line(customer_id=""), _line(amount="abc"))
+    rows = files.transactions_csv(spark, path).collect()
+    assert [r["customer_id"] for r in rows] == [None, "cust-1"]
+    assert [r["amount"] for r in rows] == [100.0, None]
+    assert files.transactions_csv(spark, path).schema == schemas.TRANSACTIONS
+
+
+def test_csv_binds_by_position(spark, tmp_path):
+    path = _csv(tmp_path / "c.csv", "1,a,b,e,GB,RETAIL,LOW,x,True", header="nine,other,names,a,b,c,d,e,f")
+    row = files.customers_csv(spark, path).collect()[0]
+    assert (row["customer_id"], row["is_active"]) == ("1", "True")
+
+
+def test_json_lines_bind_by_name(spark, tmp_path):
+    path = tmp_path / "t.jsonl"
+    path.write_text(json.dumps({"amount": 5, "transaction_id": "a", "more": 1}) + "\n" + json.dumps({"transaction_id": "b", "amount": None}) + "\n")
+    rows = files.transactions_json(spark, str(path)).collect()
+    assert [(r["transaction_id"], r["amount"]) for r in rows] == [("a", 5.0), ("b", None)]
+
+
+def test_folder_of_csv_files(spark, tmp_path):
+    _csv(tmp_path / "a.csv", _line(transaction_id="1"), _line(transaction_id="NA", amount="nan"))
+    _csv(tmp_path / "b.csv", _line(transaction_id="2", counterparty='"Smith, ""J"""'))
+    (tmp_path / "c.txt").write_text("ignored\n")
+    rows = files.read_csv_folder(spark, str(tmp_path), schemas.TRANSACTIONS).collect()
+    assert {(r["transaction_id"], r["amount"]) for r in rows} == {("1", 100.0), (None, None), ("2", 100.0)}
+    assert 'Smith, "J"' in {r["counterparty"] for r in rows}
+
+
+def test_folder_without_csv_files_fails(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        files.read_csv_folder(spark, str(tmp_path), schemas.TRANSACTIONS)
+
+
+def test_folder_refuses_another_column_order(spark, tmp_path):
+    _csv(tmp_path / "a.csv", _line(), header=",".join(reversed(COLUMNS)))
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv_folder(spark, str(tmp_path), schemas.TRANSACTIONS).collect()
+
+
+def test_absent_path_is_none(spark, tmp_path):
+    assert files.if_present(lambda: files.transactions_csv(spark, str(tmp_path / "no.csv"))) is None
+    path = _csv(tmp_path / "t.csv", _line())
+    assert files.if_present(lambda: files.transactions_csv(spark, path)).count() == 1
+
+
+def test_union_keeps_duplicates_and_fills_columns(spark):
+    both = files.union_all(raw(spark, {}), raw(spark, {}).drop("batch_id"))
+    assert both.count() == 2 and len(both.columns) == 17
+
+
+def test_load_report_and_rows(spark, tmp_path):
+    folder = tmp_path / "csv"
+    good = _csv(folder / "good.csv", _line(transaction_id="g1"), _line(transaction_id="g2", amount="NULL"), _line(transaction_id="g3", amount="None", batch_id="nan"))
+    mixed = _csv(folder / "mixed.csv", _line(transaction_id="m1"), _line(transaction_id="m2", amount="12x"), "too,few,cells", _line(transaction_id="m3") + ",extra")
+    bad = _csv(folder / "bad.csv", _line(transaction_id="b1", fee_amount="?"))
+    table = str(tmp_path / "raw")
+    report = raw_load.load_table(spark, str(folder), schemas.TRANSACTIONS, table, "l1")
+    found = {
+        r["file"].rsplit("/", 1)[-1]: (r["rows_parsed"], r["rows_loaded"], r["errors_seen"], r["status"])
+        for r in report.collect()
+    }
+    assert found == {
+        "good.csv": (3, 3, 0, "LOADED"),
+        "mixed.csv": (4, 1, 3, "PARTIALLY_LOADED"),
+        "bad.csv": (1, 0, 1, "LOAD_FAILED"),
+    }
+    rows = raw_load.raw_table(spark, table, schemas.TRANSACTIONS)
+    assert {(r["transaction_id"], r["amount"], r["batch_id"]) for r in rows.collect()} == {
+        ("g1", 100.0, None), ("g2", None, None), ("g3", None, None), ("m1", 100.0, None),
+    }
+    assert files.row_count(rows).collect()[0]["row_count"] == 4
+
+    # the same load again replaces itself, another one is appended
+    raw_load.load_table(spark, str(folder), schemas.TRANSACTIONS, table, "l1").collect()
+    assert raw_load.raw_table(spark, table, schemas.TRANSACTIONS).count() == 4
+    report = raw_load.load_table(spark, str(folder), schemas.TRANSACTIONS, table, "l2")
+    assert sum(r["rows_loaded"] for r in report.collect()) == 4
+    assert raw_load.raw_table(spark, table, schemas.TRANSACTIONS).count() == 8
+    assert all(p.endswith(".csv") for p in (good, mixed, bad))
+
+
+def test_load_of_an_empty_folder_reports_nothing(spark, tmp_path):
+    report = raw_load.load_table(spark, str(tmp_path / "none"), schemas.TRANSACTIONS, str(tmp_path / "raw"), "l1")
+    assert report.count() == 0
+
+
+def test_both_raw_tables_load(spark, tmp_path):
+    header = ",".join(f.name for f in schemas.BRONZE_CUSTOMERS)
+    _csv(
+        tmp_path / "csv/customers/part_0.csv",
+        "c1,A,B,a@x,GB,RETAIL,LOW,2023,True,False,False,False,2024-06-01 10:00:00,f,bronze,1.0.0,r",
+        header=header,
+    )
+    header = ",".join(f.name for f in schemas.BRONZE_TRANSACTIONS)
+    dates = "2024-06-01 10:00:00,,2024-06-01 10:00:00,2024,6,1"
+    flags = ",".join(["False"] * 7)
+    _csv(
+        tmp_path / "csv/transactions/part_2024_6.csv",
+        f"{_line()},{dates},{flags},2024-06-01 10:00:00.123,f,bronze,1.0.0,r",
+        header=header,
+    )
+    report = run_raw_load(spark, str(tmp_path / "csv"), str(tmp_path / "raw"), "l1")
+    assert [(r["rows_loaded"], r["errors_seen"]) for r in report.collect()] == [(1, 0), (1, 0)]

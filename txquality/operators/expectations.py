@@ -39,9 +39,14 @@ class Check:
         if self.kind == "values_between":
             return f"values_between({self.column}, min={self.low}, max={self.high})"
         if self.kind in ("column_exists", "unique"):
-            return f"{self.kind}({self.column})"
+            return self.short_name
         return f"{self.kind}({self.column}, mostly={self.mostly})"
 
+    @property
+    def short_name(self) -> str:
+        """The name without limits, as reported where the column is absent."""
+        return f"{self.kind}({self.column})"
+
 
 def column_exists(column: str) -> Check:
     return Check("column_exists", column)
@@ -115,6 +120,7 @@ class _Compiled:
     observed: Column
     detail: Column
     aggregates: dict[str, Column] = field(default_factory=dict)
+    name: str | None = None
 
 
 def run_suite(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
@@ -184,7 +190,7 @@ def _compile(df: DataFrame, check: Check, tag: str) -> _Compiled:
         found = "" if exists else f"columns={list(df.columns)}"
         return _Compiled(F.lit(exists), none, F.lit(found))
     if not exists:
-        return _Compiled(F.lit(False), none, F.lit("column missing"))
+        return _Compiled(F.lit(False), none, F.lit("column missing"), name=check.short_name)
 
     rate_of = {
         "no_nulls": _null_rate,
@@ -268,7 +274,7 @@ def _result(suite: str, position: int, check: Check, compiled: _Compiled) -> Col
     return F.struct(
         F.lit(suite).alias("suite"),
         F.lit(position).alias("position"),
-        F.lit(check.name).alias("check_name"),
+        F.lit(compiled.name or check.name).alias("check_name"),
         F.lit(check.column).cast("string").alias("column_name"),
         F.lit(check.mostly).alias("mostly"),
         compiled.observed.alias("observed"),
