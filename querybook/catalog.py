@@ -49,14 +49,15 @@ def registered() -> dict[str, Query]:
 
 
 def plain_types(df: DataFrame) -> DataFrame:
-    """Types that read the same from both engines: decimals as double, zone-free
-    timestamps, 64-bit integers, arrays of text as one text."""
+    """Types that read the same from both engines: decimals and integers that
+    may be NULL as double, dates and timestamps zone-free, arrays of text as one text."""
     columns = []
     for field in df.schema:
         column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DecimalType):
+        nullable_int = isinstance(field.dataType, T.IntegerType) and field.nullable
+        if isinstance(field.dataType, T.DecimalType) or nullable_int:
             column = column.cast("double")
-        elif isinstance(field.dataType, T.TimestampType):
+        elif isinstance(field.dataType, (T.DateType, T.TimestampType)):
             column = column.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.IntegerType):
             column = column.cast("bigint")

@@ -110,7 +110,7 @@ SILVER_COLUMNS = _doubles(
     "source_system, batch_id, fee_amount, fee_currency, amount_usd, fee_amount_clean, total_with_fees, "
     "is_completed, is_failed, transaction_date, settlement_date, created_at, transaction_day, transaction_month, "
     "settlement_days, _silver_loaded_at, _bronze_ingested_at",
-    ("amount", "fee_amount", "amount_usd", "fee_amount_clean", "total_with_fees"),
+    ("amount", "fee_amount", "amount_usd", "fee_amount_clean", "total_with_fees", "settlement_days"),
 )
 MERGED = " union all ".join(
     (
@@ -301,10 +301,11 @@ BAD_CELL = "k % 71 = 31"
 def oracle() -> dict[str, str]:
     tx_rows = _chain(f"select {TX} from tx")
     cust_rows = _chain("select * from cust")
-    bronze_columns = (
-        f"{TX}, transaction_date_ts, settlement_date_ts, created_at_ts, partition_year, partition_month, "
-        f"partition_day, {FLAGS}, _ingestion_timestamp, _source_file, _pipeline_layer, _pipeline_version, _run_id"
+    parsed = _doubles(
+        "transaction_date_ts, settlement_date_ts, created_at_ts, partition_year, partition_month, partition_day",
+        ("partition_year", "partition_month", "partition_day"),
     )
+    audit = "_ingestion_timestamp, _source_file, _pipeline_layer, _pipeline_version, _run_id"
     return {
         "scan_csv_transactions": tx_rows,
         "scan_csv_customers": cust_rows,
@@ -319,15 +320,14 @@ def oracle() -> dict[str, str]:
         ),
         "raw_load_verify_count": _chain(f"select count(*) as row_count from tx where not ({BAD_CELL})"),
         "bronze_parse_timestamps": _chain(
-            "select reference_number, transaction_date_ts, settlement_date_ts, created_at_ts, partition_year, "
-            "partition_month, partition_day from bronze"
+            f"select reference_number, {parsed} from bronze"
         ),
         "bronze_dq_flags": _chain(f"select reference_number, created_at, {FLAGS} from bronze"),
         "bronze_customer_flags": _chain(CUST_FLAGGED),
         "bronze_audit_columns": _chain(
             f"select reference_number, created_at, {CUST_AUDIT.format(source='orders')} from tx"
         ),
-        "bronze_partitioned_roundtrip": _chain(f"select {bronze_columns} from bronze"),
+        "bronze_partitioned_roundtrip": _chain(f"select {TX}, {parsed}, {FLAGS}, {audit} from bronze"),
         "bronze_customers_roundtrip": _chain(
             f"select *, {CUST_AUDIT.format(source='customer')} from ({CUST_FLAGGED})"
         ),
@@ -372,7 +372,7 @@ def oracle() -> dict[str, str]:
         ),
         "gold_daily": _chain(GOLD),
         "gold_day_currency_totals": _chain(
-            "select cast(transaction_date_ts as date) as transaction_day, currency, "
+            "select date_trunc('day', transaction_date_ts)::timestamp as transaction_day, currency, "
             "round(coalesce(sum(amount), 0), 4) as total from bronze "
             "where transaction_date_ts is not null and currency is not null group by 1, 2"
         ),
