@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 
 from tests.helpers import AT, plan, raw, staged_of
+from txquality import schemas
 from txquality.operators.merge import merge, merge_batch
 from txquality.plans import silver
 from txquality.sinks import published
@@ -47,7 +48,7 @@ def test_bad_source_keys_are_refused(spark, merging, keys):
 
 def test_silver_merge_shuffles_the_load_once_and_the_table_never(spark, tmp_path):
     table = f"silver_{uuid.uuid4().hex}"
-    assert published(spark, table) is None
+    assert published(spark, table, str(tmp_path)) is None
     load = staged_of(raw(spark, {"transaction_id": "a"}, {"transaction_id": "b"}))
     silver.run_silver(spark, load, str(tmp_path), AT, "s1", table)
 
@@ -76,3 +77,19 @@ def test_failed_merge_leaves_the_table(spark, tmp_path):
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
         silver.run_silver(spark, staged_of(raw(spark, {"amount": 1e15})), str(tmp_path), AT, "s2", table)
     assert spark.table(table).count() == 1
+
+
+def test_a_session_without_the_table_finds_it(spark, tmp_path):
+    table = f"silver_{uuid.uuid4().hex}"
+    load = staged_of(raw(spark, {"transaction_id": "a"}, {"transaction_id": "b"}))
+    silver.run_silver(spark, load, str(tmp_path), AT, "s1", table)
+    spark.sql(f"DROP VIEW {table}")
+    spark.sql(f"DROP TABLE {table}__s1")
+
+    found = published(spark, table, str(tmp_path))
+    assert found.count() == 2 and list(found.columns) == list(schemas.SILVER_COLUMNS)
+    assert "Bucketed: true" in plan(found.groupBy("transaction_id").count())
+    later = staged_of(raw(spark, {"transaction_id": "c"}), AT + timedelta(days=1))
+    assert silver.run_silver(spark, later, str(tmp_path), AT, "s2", table).count() == 3
+    with pytest.raises(ValueError):
+        silver.run_silver(spark, later, str(tmp_path), AT, "s2", table)

@@ -83,9 +83,12 @@ def run_bronze(
     bronze_dir: str,
     ingested_at: datetime | None = None,
     run_id: str | None = None,
+    rebalance: bool = True,
 ) -> DataFrame | None:
     """Ingest both entities and return their summaries; an absent file is skipped.
 
+    ``rebalance=False`` saves the shuffle by month where files come laid out by date.
+
     Source text is parsed once, by the write. The summary then reads two small
     columns of what was stored.
     """
@@ -96,7 +99,7 @@ def run_bronze(
     path = f"{source_dir}/transactions.csv"
     transactions = if_present(lambda: bronze_transactions(spark, path, ingested_at, run_id))
     if transactions is not None:
-        write_partitioned(transactions, f"{bronze_dir}/transactions", PARTITION_COLUMNS)
+        write_partitioned(transactions, f"{bronze_dir}/transactions", PARTITION_COLUMNS, rebalance)
         written = read_bronze_transactions(spark, bronze_dir).filter(F.col("_run_id") == run_id)
         summaries.append(dq_summary(written, "Transactions"))
 

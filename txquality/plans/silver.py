@@ -91,7 +91,7 @@ def run_silver(
     where they are.
     """
     load = silver(staged, loaded_at)
-    current = published(spark, table)
+    current = published(spark, table, location)
     rows = load if current is None else merge(current, load, schemas.SILVER_KEY, source_is_unique=True)
     if buckets is None:
         initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+
+from txquality.sources.files import if_present
 
 
 def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], rebalance: bool = True) -> None:
@@ -43,24 +46,62 @@ def publish(
     key: str | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Write a new snapshot of table ``name`` and point its view at it.
+    """Write a new snapshot of table ``name`` under ``location`` and make it current.
 
-    Readers see the old snapshot until the write has succeeded, and a failed
+    Readers see the snapshot before until the write has succeeded, and a failed
     write leaves it in place. Old snapshots stay until their owner drops them.
     With ``key`` and ``buckets`` rows are bucketed, so the next merge by that key
     reads this table without shuffling it; use as many buckets as the session
-    has shuffle partitions.
+    has shuffle partitions. One writer per table at a time.
     """
     spark = df.sparkSession
-    table = f"{name}__{snapshot_id}"
-    writer = df.write.format("parquet").mode("overwrite").option("path", f"{location.rstrip('/')}/{snapshot_id}")
+    last = _last_snapshot(spark, location)
+    if last and last["snapshot_id"] == snapshot_id:
+        raise ValueError(f"{name} already has a snapshot {snapshot_id}")
+    writer = (
+        df.write.format("parquet")
+        .mode("overwrite")
+        .option("path", f"{location.rstrip('/')}/{snapshot_id}")
+    )
     if key and buckets:
         writer = writer.bucketBy(buckets, key)
-    writer.saveAsTable(table)
+    writer.saveAsTable(f"{name}__{snapshot_id}")
+    entry = (last["number"] + 1 if last else 1, snapshot_id, key, buckets)
+    spark.createDataFrame([entry], SNAPSHOT).coalesce(1).write.mode("append").json(_log(location))
+    return published(spark, name, location)
+
+
+def published(spark: SparkSession, name: str, location: str) -> DataFrame | None:
+    """The current snapshot of a published table, None before its first one.
+
+    The list of snapshots lies with the data, so a session whose catalog does
+    not know the table yet (a new one without a shared metastore) registers it,
+    buckets included, under its name.
+    """
+    last = _last_snapshot(spark, location)
+    if last is None:
+        return None
+    table, path = f"{name}__{last['snapshot_id']}", f"{location.rstrip('/')}/{last['snapshot_id']}"
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema
+        )
+        clustered = ""
+        if last["buckets"]:
+            clustered = f"CLUSTERED BY (`{last['key']}`) INTO {last['buckets']} BUCKETS"
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {clustered} LOCATION '{path}'")
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
     return spark.table(name)
 
 
-def published(spark: SparkSession, name: str) -> DataFrame | None:
-    """The current snapshot of a published table, None before its first one."""
-    return spark.table(name) if spark.catalog.tableExists(name) else None
+SNAPSHOT = "number long, snapshot_id string, key string, buckets int"
+
+
+def _log(location: str) -> str:
+    return f"{location.rstrip('/')}/_snapshots"
+
+
+def _last_snapshot(spark: SparkSession, location: str) -> Row | None:
+    """The newest entry of a table's list, which has one small row per run."""
+    entries = if_present(lambda: spark.read.schema(SNAPSHOT).json(_log(location)))
+    return None if entries is None else entries.orderBy(F.col("number").desc()).first()
