@@ -8,7 +8,9 @@ rows. ``k`` is the order key, ``d`` its date, ``copy`` the version.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from txquality import schemas
 from txquality.session import scratch_path
 from txquality.sources.files import if_present
 
@@ -93,6 +95,14 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PREPARED = T.StructType(
+    list(schemas.TRANSACTIONS.fields)
+    + [
+        T.StructField("_ingestion_timestamp", T.TimestampType()),
+        T.StructField("k", T.LongType()),
+        T.StructField("copy", T.IntegerType()),
+    ]
+)
 _PREPARED: dict[tuple[str, str], str] = {}
 
 
@@ -104,11 +114,11 @@ def prepared_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     made_in = (spark.sparkContext.applicationId, sf_dir)
     path = _PREPARED.get(made_in)
-    found = if_present(lambda: spark.read.parquet(path)) if path else None
+    found = if_present(lambda: spark.read.schema(PREPARED).parquet(path)) if path else None
     if found is None:
         path = _PREPARED[made_in] = scratch_path(spark, "raw-transactions")
         raw_transactions(spark, sf_dir).repartition("k").write.parquet(path)
-        found = spark.read.parquet(path)
+        found = spark.read.schema(PREPARED).parquet(path)
     return found
 
 

@@ -19,6 +19,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.parquet.compression.codec": "zstd",
+    # recording a call site for each column expression doubles the time to build a plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

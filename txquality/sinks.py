@@ -65,10 +65,16 @@ def publish(
     )
     if key and buckets:
         writer = writer.bucketBy(buckets, key)
-    writer.saveAsTable(f"{name}__{snapshot_id}")
-    entry = (last["number"] + 1 if last else 1, snapshot_id, key, buckets)
-    spark.createDataFrame([entry], SNAPSHOT).coalesce(1).write.mode("append").json(_log(location))
-    return published(spark, name, location)
+    table = f"{name}__{snapshot_id}"
+    writer.saveAsTable(table)
+    entry = spark.range(1).select(
+        F.lit(last["number"] + 1 if last else 1).alias("number"),
+        F.lit(snapshot_id).alias("snapshot_id"),
+        F.lit(key).alias("key"),
+        F.lit(buckets).alias("buckets"),
+    )
+    entry.coalesce(1).write.mode("append").json(_log(location))
+    return _point(spark, name, table)
 
 
 def published(spark: SparkSession, name: str, location: str) -> DataFrame | None:
@@ -90,6 +96,10 @@ def published(spark: SparkSession, name: str, location: str) -> DataFrame | None
         if last["buckets"]:
             clustered = f"CLUSTERED BY (`{last['key']}`) INTO {last['buckets']} BUCKETS"
         spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {clustered} LOCATION '{path}'")
+    return _point(spark, name, table)
+
+
+def _point(spark: SparkSession, name: str, table: str) -> DataFrame:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
     return spark.table(name)
 
