@@ -15,7 +15,7 @@ from txquality import schemas
 from txquality.functions import money
 from txquality.operators import dedup, merge, profile, table_tests
 from txquality.operators import expectations as ex
-from txquality.plans import bronze, silver, staging, validation
+from txquality.plans import bronze, silver, staging, validation, warehouse
 from txquality.plans.gold import gold
 from txquality.session import scratch_path, stored
 from txquality.sinks import publish, write_partitioned, write_plain
@@ -242,6 +242,15 @@ def issue_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.issue_profile(raw(spark, sf_dir))
 
 
+@query
+def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole ingest job, from source files to stored Bronze and its summary."""
+    source = scratch_path(spark, "source")
+    write_csv(raw(spark, sf_dir), f"{source}/transactions.csv")
+    write_csv(fixtures.raw_customers(spark, sf_dir), f"{source}/customers.csv")
+    return bronze.run_bronze(spark, source, scratch_path(spark, "bronze"), INGESTED_AT, RUN_ID)
+
+
 # --- staging and silver -------------------------------------------------------
 
 
@@ -330,6 +339,13 @@ def gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold as a table: staging view, stored Silver, stored Gold, read back."""
+    rounded = {name: F.round(name, 6) for name in ("avg_amount", "avg_settlement_days")}
+    return _refined(spark, sf_dir).gold.withColumns(rounded)
+
+
 @query
 def gold_day_currency_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = profile.day_currency_totals(raw(spark, sf_dir))
@@ -346,6 +362,19 @@ def values_per_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.value_counts(raw(spark, sf_dir), "status")
 
 
+def _refined(spark: SparkSession, sf_dir: str) -> warehouse.Refined:
+    tag = uuid.uuid4().hex
+    return warehouse.run_refinement(
+        spark,
+        bronze_tx(spark, sf_dir),
+        fixtures.raw_customers(spark, sf_dir),
+        scratch_path(spark, "warehouse"),
+        GOLD_AT,
+        "s1",
+        warehouse.Names(f"staging_{tag}", f"silver_{tag}", f"gold_{tag}"),
+    )
+
+
 # --- table tests --------------------------------------------------------------
 
 
@@ -376,6 +405,12 @@ def table_test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def refinement_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The standard tests at the end of the whole refinement job."""
+    return _refined(spark, sf_dir).tests
+
+
 # --- expectations -------------------------------------------------------------
 
 
@@ -419,6 +454,15 @@ def suite_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.validate_customers(bronze_cust(spark, sf_dir))
 
 
+@query
+def validation_of_stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validation job: both suites over Bronze as stored."""
+    path = scratch_path(spark, "bronze")
+    write_partitioned(bronze_tx(spark, sf_dir), f"{path}/transactions", bronze.PARTITION_COLUMNS)
+    write_plain(bronze_cust(spark, sf_dir), f"{path}/customers")
+    return validation.run_validation(spark, path)
+
+
 def _both_suites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.summarise(validation.validate(bronze_tx(spark, sf_dir), bronze_cust(spark, sf_dir)))
 

@@ -281,6 +281,23 @@ def _suite_summary() -> str:
     )
 
 
+def _table_test_report() -> str:
+    return _chain(
+        _all(
+            _null_test("raw.transactions", "tx", "transaction_id"),
+            _null_test("raw.transactions", "tx", "_ingestion_timestamp"),
+            _null_test("raw.customers", "cust", "customer_id"),
+            _unique_test("raw.customers", "cust", "customer_id"),
+            _null_test("silver.transactions", "silver", "transaction_id"),
+            _unique_test("silver.transactions", "silver", "transaction_id"),
+            _null_test("silver.transactions", "silver", "amount"),
+            _accepted_test("silver.transactions", "silver", "currency", CURRENCIES),
+            _accepted_test("silver.transactions", "silver", "status", STATUSES),
+            _null_test("silver.transactions", "silver", "is_completed"),
+        )
+    )
+
+
 GOLD = """
     select transaction_day, transaction_month, currency, transaction_type, status, source_system,
         count(*) as total_transactions, count(*) filter (where is_completed) as completed_count,
@@ -332,6 +349,7 @@ def oracle() -> dict[str, str]:
             f"select *, {CUST_AUDIT.format(source='customer')} from ({CUST_FLAGGED})"
         ),
         "dq_summary": _chain(_all(_summary("Transactions", "bronze"), _summary("Customers", f"({CUST_FLAGGED})"))),
+        "bronze_ingest": _chain(_all(_summary("Transactions", "bronze"), _summary("Customers", f"({CUST_FLAGGED})"))),
         "rows_with_issues": _chain(
             f"select reference_number, created_at, {FLAGS} from bronze where dq_has_issues"
         ),
@@ -371,6 +389,7 @@ def oracle() -> dict[str, str]:
             f"cast(count(*) filter (where {VALID}) as double) / nullif(count(*), 0) as coverage from staged"
         ),
         "gold_daily": _chain(GOLD),
+        "gold_table": _chain(GOLD),
         "gold_day_currency_totals": _chain(
             "select date_trunc('day', transaction_date_ts)::timestamp as transaction_day, currency, "
             "round(coalesce(sum(amount), 0), 4) as total from bronze "
@@ -385,25 +404,12 @@ def oracle() -> dict[str, str]:
         "test_not_null": _chain(_null_test("raw.transactions", "tx", "transaction_id")),
         "test_unique": _chain(_unique_test("raw.customers", "cust", "customer_id")),
         "test_accepted_values": _chain(_accepted_test("raw.transactions", "tx", "currency", CURRENCIES)),
-        "table_test_report": _chain(
-            _all(
-                _null_test("raw.transactions", "tx", "transaction_id"),
-                _null_test("raw.transactions", "tx", "_ingestion_timestamp"),
-                _null_test("raw.customers", "cust", "customer_id"),
-                _unique_test("raw.customers", "cust", "customer_id"),
-                _null_test("silver.transactions", "silver", "transaction_id"),
-                _unique_test("silver.transactions", "silver", "transaction_id"),
-                _null_test("silver.transactions", "silver", "amount"),
-                _accepted_test("silver.transactions", "silver", "currency", CURRENCIES),
-                _accepted_test("silver.transactions", "silver", "status", STATUSES),
-                _null_test("silver.transactions", "silver", "is_completed"),
-            )
-        ),
+        "table_test_report": _table_test_report(),
+        "refinement_tests": _table_test_report(),
         **_expectation_queries(),
         "suite_transactions": _chain(_transaction_suite()),
-        "suite_customers": _chain(_customer_suite()).replace(
-            "from cust ", f"from (select *, 'bronze' as _pipeline_layer from cust) "
-        ),
+        "suite_customers": _chain(_customer_suite()),
+        "validation_of_stored_bronze": _chain(_all(_transaction_suite(), _customer_suite())),
         "suite_summary": _chain(_suite_summary()),
         "validation_verdict": _chain(
             f"select count(*) as suites, bool_and(success) as success from ({_suite_summary()})"

@@ -10,13 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 from txquality import schemas
 from txquality.operators.table_tests import run_table_tests
 from txquality.plans.bronze import new_run
-from txquality.plans.gold import run_gold
-from txquality.plans.silver import run_silver
-from txquality.plans.staging import staging_view
+from txquality.plans.gold import GOLD_TABLE, run_gold
+from txquality.plans.silver import SILVER_TABLE, run_silver
+from txquality.plans.staging import STAGING_VIEW, staging_view
 from txquality.sources.files import union_all
 from txquality.sources.raw_load import load_table, raw_table
 
 
+@dataclass(frozen=True)
+class Names:
+    """Names the layers get in the session's catalog."""
+
+    staging: str = STAGING_VIEW
+    silver: str = SILVER_TABLE
+    gold: str = GOLD_TABLE
+
+
 @dataclass(frozen=True)
 class Refined:
     silver: DataFrame
@@ -54,13 +63,14 @@ def run_refinement(
     warehouse_dir: str,
     loaded_at: datetime | None = None,
     snapshot_id: str | None = None,
+    names: Names = Names(),
 ) -> Refined:
     """Staging view, Silver merge, Gold replacement, then the table tests."""
     now, now_id = new_run()
     loaded_at, snapshot_id = loaded_at or now, snapshot_id or now_id
-    staged = staging_view(raw_transactions)
-    silver = run_silver(spark, staged, f"{warehouse_dir}/silver", loaded_at, snapshot_id)
-    gold = run_gold(silver, f"{warehouse_dir}/gold", loaded_at, snapshot_id)
+    staged = staging_view(raw_transactions, names.staging)
+    silver = run_silver(spark, staged, f"{warehouse_dir}/silver", loaded_at, snapshot_id, names.silver)
+    gold = run_gold(silver, f"{warehouse_dir}/gold", loaded_at, snapshot_id, names.gold)
     tests = run_table_tests(
         {
             "raw.transactions": raw_transactions,
