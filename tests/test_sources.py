@@ -4,7 +4,8 @@ import pytest
 
 from tests.helpers import VALID, raw
 from txquality import schemas
-from txquality.plans.warehouse import run_raw_load
+from txquality.plans.validation import run_validation
+from txquality.plans.warehouse import raw_tables, run_raw_load
 from txquality.sources import files, raw_load
 
 COLUMNS = schemas.TRANSACTION_COLUMNS
@@ -117,7 +118,7 @@ def test_both_raw_tables_load(spark, tmp_path):
         header=header,
     )
     header = ",".join(f.name for f in schemas.BRONZE_TRANSACTIONS)
-    dates = "2024-06-01 10:00:00,,2024-06-01 10:00:00,2024,6,1"
+    dates = "2024-06-01 10:00:00,,2024-06-01 10:00:00,2024.0,6.0,1"
     flags = ",".join(["False"] * 7)
     _csv(
         tmp_path / "csv/transactions/part_2024_6.csv",
@@ -126,3 +127,12 @@ def test_both_raw_tables_load(spark, tmp_path):
     )
     report = run_raw_load(spark, str(tmp_path / "csv"), str(tmp_path / "raw"), "l1")
     assert [(r["rows_loaded"], r["errors_seen"]) for r in report.collect()] == [(1, 0), (1, 0)]
+    transactions, customers = raw_tables(spark, str(tmp_path / "raw"))
+    row = transactions.collect()[0]
+    assert (row["partition_year"], row["partition_month"], row["dq_has_issues"]) == (2024, 6, False)
+    assert customers.schema == schemas.BRONZE_CUSTOMERS
+
+    results = run_validation(spark, str(tmp_path / "csv"), as_csv=True).collect()
+    assert len(results) == 28
+    failed = {r["check_name"] for r in results if not r["success"]}
+    assert failed == {"row_count_above(100)", "row_count_above(10)"}

@@ -23,6 +23,7 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
 
     validate = jobs.add_parser("validate", help="run both suites; status 1 if a check fails")
     validate.add_argument("--bronze-dir", default="./data/bronze")
+    validate.add_argument("--csv", action="store_true", help="Bronze is kept as CSV folders")
 
     load = jobs.add_parser("load", help="load folders of CSV files into raw tables")
     load.add_argument("--csv-dir", required=True)
@@ -46,7 +47,7 @@ def main(given: list[str] | None = None) -> int:
             summary.show(truncate=False)
         return 0
     if args.job == "validate":
-        summary = summarise(stored(run_validation(spark, args.bronze_dir), "validation"))
+        summary = summarise(stored(run_validation(spark, args.bronze_dir, args.csv), "validation"))
         summary.show(truncate=False)
         return 0 if verdict(summary).first()["success"] else 1
     if args.job == "load":

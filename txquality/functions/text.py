@@ -23,6 +23,14 @@ def null_if_token(name: str, tokens: Sequence[str]) -> Column:
     return F.when(~F.col(name).isin(*tokens), F.col(name))
 
 
+def typed(text: Column, kind: T.DataType) -> Column:
+    """Text as ``kind``, NULL where it does not fit. Whole numbers may be written
+    with decimals, as tools do that hold a column with gaps as floating point."""
+    if isinstance(kind, T.IntegralType):
+        return text.try_cast("decimal(18,0)").try_cast(kind)
+    return text.try_cast(kind)
+
+
 def number_or_null(df: DataFrame, name: str) -> Column:
     """``name`` as double; text that is no number, and NaN, become NULL."""
     kind = df.schema[name].dataType

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txquality import schemas
 from txquality.operators import expectations as ex
 from txquality.plans.bronze import read_bronze_customers, read_bronze_transactions
-from txquality.sources.files import if_present, union_all
+from txquality.sources.files import if_present, read_csv_folder, union_all
 
 
 def validate_transactions(df: DataFrame) -> DataFrame:
@@ -25,9 +26,15 @@ def validate(transactions: DataFrame | None, customers: DataFrame | None) -> Dat
     return results if customers is None else union_all(results, validate_customers(customers))
 
 
-def run_validation(spark: SparkSession, bronze_dir: str) -> DataFrame:
-    """Results per check; see ``summarise`` and ``verdict`` for totals."""
-    return validate(
-        if_present(lambda: read_bronze_transactions(spark, bronze_dir)),
-        if_present(lambda: read_bronze_customers(spark, bronze_dir)),
-    )
+def run_validation(spark: SparkSession, bronze_dir: str, as_csv: bool = False) -> DataFrame:
+    """Results per check; see ``summarise`` and ``verdict`` for totals.
+
+    ``as_csv`` reads a Bronze layer kept as folders of CSV files.
+    """
+    if as_csv:
+        transactions = lambda: read_csv_folder(spark, f"{bronze_dir}/transactions", schemas.BRONZE_TRANSACTIONS)
+        customers = lambda: read_csv_folder(spark, f"{bronze_dir}/customers", schemas.BRONZE_CUSTOMERS)
+    else:
+        transactions = lambda: read_bronze_transactions(spark, bronze_dir)
+        customers = lambda: read_bronze_customers(spark, bronze_dir)
+    return validate(if_present(transactions), if_present(customers))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -54,6 +55,8 @@ def publish(
     reads this table without shuffling it; use as many buckets as the session
     has shuffle partitions. One writer per table at a time.
     """
+    if not re.fullmatch(r"\w+", snapshot_id):
+        raise ValueError("a snapshot id holds letters, digits and underscores only")
     spark = df.sparkSession
     last = _last_snapshot(spark, location)
     if last and last["snapshot_id"] == snapshot_id:

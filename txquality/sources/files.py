@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txquality import schemas
-from txquality.functions.text import null_if_token
+from txquality.functions.text import null_if_token, typed
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -51,11 +51,11 @@ def read_csv_folder(
     try:
         text = reader.schema(as_text).csv(f"{folder.rstrip('/')}/{pattern}")
     except AnalysisException as error:
-        if _is_absent(error):
+        if is_absent(error):
             raise FileNotFoundError(f"no files match {pattern} in {folder}") from error
         raise
     cells = (
-        null_if_token(f.name, schemas.FRAME_NULL_TOKENS).try_cast(f.dataType).alias(f.name)
+        typed(null_if_token(f.name, schemas.FRAME_NULL_TOKENS), f.dataType).alias(f.name)
         for f in schema
     )
     return text.select(*cells)
@@ -79,12 +79,13 @@ def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
     except FileNotFoundError:
         return None
     except AnalysisException as error:
-        if _is_absent(error):
+        if is_absent(error):
             return None
         raise
 
 
-def _is_absent(error: AnalysisException) -> bool:
+def is_absent(error: AnalysisException) -> bool:
+    """Whether Spark failed because a path, or every file of a pattern, is missing."""
     return error.getCondition() == "PATH_NOT_FOUND"
 
 

@@ -11,16 +11,13 @@ from functools import reduce
 from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txquality import schemas
-from txquality.functions.text import null_if_token
-from txquality.sources.files import _is_absent
-
-LOAD_COLUMNS = ("_load_file", "_load_id", "_rejected")
-
+from txquality.functions.text import null_if_token, typed
+from txquality.sources.files import is_absent
 
 def parse_load(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.csv") -> DataFrame:
     """Rows of the folder's CSV files, cast to ``schema``, with file and outcome.
@@ -45,7 +42,7 @@ def parse_load(spark: SparkSession, folder: str, schema: T.StructType, pattern:
     cells = []
     for field in schema:
         token = null_if_token(field.name, schemas.LOAD_NULL_TOKENS)
-        value = token.try_cast(field.dataType)
+        value = typed(token, field.dataType)
         cells.append(value.alias(field.name))
         if not isinstance(field.dataType, T.StringType):
             faults.append(token.isNotNull() & value.isNull())
@@ -71,7 +68,7 @@ def load_table(
     try:
         parsed = parse_load(spark, folder, schema, pattern)
     except AnalysisException as error:
-        if not _is_absent(error):
+        if not is_absent(error):
             raise
         return spark.createDataFrame([], _report_schema())
     (
@@ -94,7 +91,7 @@ def load_report(parsed: DataFrame) -> DataFrame:
     return counts.withColumn("status", load_status(F.col("rows_loaded"), F.col("errors_seen")))
 
 
-def load_status(loaded, errors):
+def load_status(loaded: Column, errors: Column) -> Column:
     return (
         F.when(errors == 0, "LOADED").when(loaded == 0, "LOAD_FAILED").otherwise("PARTIALLY_LOADED")
     )
