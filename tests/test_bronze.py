@@ -117,3 +117,25 @@ def test_run_bronze(spark, tmp_path):
 
 def test_run_bronze_without_files(spark, tmp_path):
     assert bronze.run_bronze(spark, str(tmp_path), str(tmp_path / "out")) is None
+
+
+def test_hot_month_is_split_among_files(spark, tmp_path):
+    """Two thirds of the rows share a month; it is written by several tasks."""
+    month = F.when(F.col("id") % 3 < 2, 6).otherwise(F.col("id") % 12 + 1).cast("int")
+    rows = spark.range(0, 60000, 1, 6).select(
+        F.lit(2024).alias("y"), month.alias("m"), F.sha2(F.col("id").cast("string"), 256).alias("text")
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "512k")
+    try:
+        write_partitioned(rows, f"{tmp_path}/t", ["y", "m"])
+    finally:
+        spark.conf.set(size, before)
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    assert stored.count() == 60000
+    files = stored.select("m", "_metadata.file_path").distinct().groupBy("m").count().collect()
+    per_month = {r["m"]: r["count"] for r in files}
+    assert per_month[6] > 2
+    # the other months are not written in pieces by every task
+    assert min(per_month.values()) == 1 and sum(per_month.values()) < 6 * len(per_month)
