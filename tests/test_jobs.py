@@ -1,7 +1,10 @@
-from tests.helpers import clean_rows, raw
+from pyspark.sql import functions as F
+
 from querybook.catalog import write_csv
+from tests.helpers import AT, bronze_of, clean_rows, raw
 from txquality import schemas
 from txquality.__main__ import main
+from txquality.plans.bronze import flag_customers, with_audit
 
 
 def test_jobs_from_files_to_gold(spark, tmp_path):
@@ -25,3 +28,17 @@ def test_failed_checks_set_the_status(spark, tmp_path):
     write_csv(raw(spark, *clean_rows()), f"{tmp_path}/raw/transactions.csv")
     main(["bronze", "--source-dir", f"{tmp_path}/raw", "--bronze-dir", f"{tmp_path}/bronze"])
     assert main(["validate", "--bronze-dir", f"{tmp_path}/bronze"]) == 1
+
+
+def test_load_and_refine_from_raw_tables(spark, tmp_path):
+    """CSV as another tool may have written Bronze, loaded and refined."""
+    bronze_rows = bronze_of(raw(spark, *clean_rows())).withColumns(
+        {name: F.col(name).cast("string") for name in ("dq_has_issues", "_ingestion_timestamp")}
+    )
+    write_csv(bronze_rows, f"{tmp_path}/csv/transactions")
+    customers = spark.createDataFrame([("c1",) + ("x",) * 8], schemas.CUSTOMERS)
+    write_csv(with_audit(flag_customers(customers), "f", AT, "r"), f"{tmp_path}/csv/customers")
+    load = ["load", "--csv-dir", f"{tmp_path}/csv", "--raw-dir", f"{tmp_path}/raw", "--load-id", "l1"]
+    assert main(load) == 0
+    assert main(["refine", "--raw-dir", f"{tmp_path}/raw", "--warehouse-dir", f"{tmp_path}/w"]) == 0
+    assert spark.table("silver_transactions").count() == 10

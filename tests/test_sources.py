@@ -5,7 +5,7 @@ import pytest
 from tests.helpers import VALID, raw
 from txquality import schemas
 from txquality.plans.validation import run_validation
-from txquality.plans.warehouse import raw_tables, run_raw_load
+from txquality.plans.warehouse import raw_tables, run_raw_load, verify_load
 from txquality.sources import files, raw_load
 
 COLUMNS = schemas.TRANSACTION_COLUMNS
@@ -127,6 +127,8 @@ def test_both_raw_tables_load(spark, tmp_path):
     )
     report = run_raw_load(spark, str(tmp_path / "csv"), str(tmp_path / "raw"), "l1")
     assert [(r["rows_loaded"], r["errors_seen"]) for r in report.collect()] == [(1, 0), (1, 0)]
+    counts = verify_load(spark, str(tmp_path / "raw")).collect()
+    assert {(r["table_name"], r["row_count"]) for r in counts} == {("transactions", 1), ("customers", 1)}
     transactions, customers = raw_tables(spark, str(tmp_path / "raw"))
     row = transactions.collect()[0]
     assert (row["partition_year"], row["partition_month"], row["dq_has_issues"]) == (2024, 6, False)

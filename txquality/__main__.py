@@ -8,7 +8,7 @@ import sys
 from txquality.operators.expectations import summarise, verdict
 from txquality.plans.bronze import read_bronze_customers, read_bronze_transactions, run_bronze
 from txquality.plans.validation import run_validation
-from txquality.plans.warehouse import raw_tables, run_raw_load, run_refinement
+from txquality.plans.warehouse import raw_tables, run_raw_load, run_refinement, verify_load
 from txquality.session import build_session, stored
 
 
@@ -52,6 +52,9 @@ def main(given: list[str] | None = None) -> int:
         return 0 if verdict(summary).first()["success"] else 1
     if args.job == "load":
         run_raw_load(spark, args.csv_dir, args.raw_dir, args.load_id).show(truncate=False)
+        counts = verify_load(spark, args.raw_dir)
+        if counts is not None:
+            counts.show()
         return 0
     if args.raw_dir:
         transactions, customers = raw_tables(spark, args.raw_dir)

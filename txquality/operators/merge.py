@@ -27,11 +27,13 @@ def merge(target: DataFrame, source: DataFrame, key: str, source_is_unique: bool
 
 
 def merge_batch(target: DataFrame, batch: DataFrame, key: str, batch_is_unique: bool = False) -> DataFrame:
-    """Same result as ``merge``, for a stored batch much smaller than the target.
+    """Same result as ``merge``, for a small stored batch and a target without buckets.
 
     The batch is read twice, so it must be a stored table. If its keys are
     below the session's broadcast threshold the target is not shuffled at all,
-    else the anti join shuffles both sides.
+    else the anti join shuffles both sides. Against a target bucketed by key
+    ``merge`` shuffles the batch alone, whatever its size, and its result can be
+    bucketed again as it is.
     """
     checked = batch if batch_is_unique else refuse_bad_keys(batch, key)
     untouched = target.select(*batch.columns).join(batch.select(key), key, "left_anti")

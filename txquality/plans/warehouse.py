@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txquality import schemas
 from txquality.operators.table_tests import run_table_tests
@@ -13,7 +14,7 @@ from txquality.plans.bronze import new_run
 from txquality.plans.gold import GOLD_TABLE, run_gold
 from txquality.plans.silver import SILVER_TABLE, run_silver
 from txquality.plans.staging import STAGING_VIEW, staging_view
-from txquality.sources.files import union_all
+from txquality.sources.files import if_present, row_count, union_all
 from txquality.sources.raw_load import load_table, raw_table
 
 
@@ -49,6 +50,19 @@ def run_raw_load(
     )
 
 
+def verify_load(spark: SparkSession, raw_dir: str) -> DataFrame | None:
+    """Rows in each raw table there is."""
+    counts = []
+    for name, schema in (
+        ("transactions", schemas.BRONZE_TRANSACTIONS),
+        ("customers", schemas.BRONZE_CUSTOMERS),
+    ):
+        rows = if_present(lambda: raw_table(spark, f"{raw_dir}/{name}", schema))
+        if rows is not None:
+            counts.append(row_count(rows).select(F.lit(name).alias("table_name"), "row_count"))
+    return union_all(*counts) if counts else None
+
+
 def raw_tables(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, DataFrame]:
     return (
         raw_table(spark, f"{raw_dir}/transactions", schemas.BRONZE_TRANSACTIONS),

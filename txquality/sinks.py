@@ -52,8 +52,9 @@ def publish(
     Readers see the snapshot before until the write has succeeded, and a failed
     write leaves it in place. Old snapshots stay until their owner drops them.
     With ``key`` and ``buckets`` rows are bucketed, so the next merge by that key
-    reads this table without shuffling it; use as many buckets as the session
-    has shuffle partitions. One writer per table at a time.
+    reads this table without shuffling it. That wants rows laid out by key (by a
+    window or join on it) in as many partitions as there are buckets: then each
+    bucket is one file. One writer per table at a time.
     """
     if not re.fullmatch(r"\w+", snapshot_id):
         raise ValueError("a snapshot id holds letters, digits and underscores only")
