@@ -310,11 +310,11 @@ def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_upsert_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the later versions are merged in, as a stored batch; all other keys stay."""
+    """Only the later versions are merged, as a stored batch, into a table without buckets."""
     table = f"silver_{uuid.uuid4().hex}"
     location = scratch_path(spark, "silver")
     first, everything = staged(spark, sf_dir, first_load_only=True), staged(spark, sf_dir)
-    target = silver.run_silver(spark, first, location, FIRST_LOAD_AT, "s1", table)
+    target = publish(silver.silver(first, FIRST_LOAD_AT), table, location, "s1")
     later = everything.filter(F.col("_ingestion_timestamp") > F.lit(INGESTED_AT))
     batch = stored(silver.silver(later, SECOND_LOAD_AT), "silver-batch")
     return publish(merge.merge_batch(target, batch, schemas.SILVER_KEY), table, location, "s2")

@@ -116,8 +116,9 @@ def prepared_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _PREPARED.get(made_in)
     found = if_present(lambda: spark.read.schema(PREPARED).parquet(path)) if path else None
     if found is None:
-        path = _PREPARED[made_in] = scratch_path(spark, "raw-transactions")
+        path = scratch_path(spark, "raw-transactions")
         raw_transactions(spark, sf_dir).repartition("k").write.parquet(path)
+        _PREPARED[made_in] = path
         found = spark.read.schema(PREPARED).parquet(path)
     return found
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import AT, bronze_of, clean_rows, dirty_rows, one, plan, raw, staged_of
+from tests.helpers import AT, bronze_of, clean_rows, dirty_rows, one, plan, raw
 from txquality import schemas
 from txquality.operators import expectations as ex
 from txquality.operators import table_tests
