@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txquality.llm import kd_shards, line_dedup
+from txquality.llm import decontaminate, kd_shards, license_scan, line_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +33,25 @@ def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", F.col("tie").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates of every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, and whether it is rejected."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select("doc_id", "severity", "p_toxic", toxicity.rejected().alias("rejected"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold benchmark items, with changed values or without."""
+    return decontaminate.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_line_dedup, op4_kd_shards)}
+    return {f.__name__: f for f in (op2_line_dedup, op4_kd_shards, op6_license_scan, op8_toxicity, op10_decontaminate)}
 
 
 def oracle() -> dict[str, str]:

@@ -108,12 +108,17 @@ _POWERS, _INVERSES = _powers(_BLOCK + 1, _STEP), _powers(_BLOCK + 1, _STEP_INVER
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span: equal bytes, equal hash, in any batch and process.
+    """A 64-bit hash of the bytes of each span: equal bytes, equal hash, in any batch and process."""
+    return hash_prefixes(data, starts, ends, ())[0]
+
+
+def hash_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
+    """Hashes of each span, then of its first bytes for each length (the whole span where it is no longer).
 
     Spans are in order and do not overlap. Works block by block, so memory stays
     near the block size but for a span that is longer than a block.
     """
-    out = np.empty(len(starts), np.uint64)
+    out = [np.empty(len(starts), np.uint64) for _ in range(1 + len(lengths))]
     at = 0
     while at < len(starts):
         base = int(starts[at])
@@ -126,9 +131,10 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         sums = np.zeros(width + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[data[base : base + width]] * powers[:width], out=sums[1:])
         s, e = starts[at:to] - base, ends[at:to] - base
-        out[at:to] = (sums[e] - sums[s]) * inverses[s]
+        for to_end, hashes in zip((e, *(np.minimum(s + k, e) for k in lengths)), out):
+            hashes[at:to] = (sums[to_end] - sums[s]) * inverses[s]
         at = to
-    return mix(out)
+    return [mix(hashes) for hashes in out]
 
 
 def hash_word(word: bytes) -> int:
