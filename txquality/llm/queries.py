@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txquality.llm import decontaminate, kd_shards, license_scan, line_dedup, toxicity
+from txquality.llm import decontaminate, kd_shards, license_scan, line_dedup, pieces, toxicity
+
+TOKENIZER = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +41,23 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def vocabulary_path() -> str:
+    """The vocabulary file of the public tokenizers; $LLM_VOCABULARY names another."""
+    if given := os.environ.get("LLM_VOCABULARY"):
+        return given
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every text, and whether decoding them gives the text again."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = pieces.load(vocabulary_path())
+    coded = pieces.decoded(pieces.encoded(docs, vocabulary), vocabulary)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document, and whether it is rejected."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -51,7 +71,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_line_dedup, op4_kd_shards, op6_license_scan, op8_toxicity, op10_decontaminate)}
+    return {f.__name__: f for f in (op2_line_dedup, op4_kd_shards, op6_license_scan, op7_sentencepiece, op8_toxicity, op10_decontaminate)}
 
 
 def oracle() -> dict[str, str]:

@@ -115,6 +115,8 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 def hash_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
     """Hashes of each span, then of its first bytes for each length (the whole span where it is no longer).
 
+    ``data`` holds bytes, or code points as wider integers.
+
     Spans are in order and do not overlap. Works block by block, so memory stays
     near the block size but for a span that is longer than a block.
     """
@@ -129,7 +131,8 @@ def hash_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length
         else:
             powers, inverses = _powers(width + 1, _STEP), _powers(width + 1, _STEP_INVERSE)
         sums = np.zeros(width + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[data[base : base + width]] * powers[:width], out=sums[1:])
+        part = data[base : base + width]
+        np.cumsum((_BYTE_VALUES[part] if part.dtype == np.uint8 else mix(part.astype(np.uint64) + _JOIN)) * powers[:width], out=sums[1:])
         s, e = starts[at:to] - base, ends[at:to] - base
         for to_end, hashes in zip((e, *(np.minimum(s + k, e) for k in lengths)), out):
             hashes[at:to] = (sums[to_end] - sums[s]) * inverses[s]
@@ -198,3 +201,17 @@ def signed(values: np.ndarray) -> np.ndarray:
 
 def unsigned(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values, np.int64).view(np.uint64)
+
+
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indices of all elements of runs, run after run."""
+    total = int(lengths.sum())
+    jump = np.ones(total, np.int64)
+    held = lengths > 0
+    starts, lengths = starts[held], lengths[held]
+    if not total:
+        return jump
+    at = np.cumsum(lengths)[:-1]
+    jump[0] = starts[0]
+    jump[at] = starts[1:] - starts[:-1] - lengths[:-1] + 1
+    return np.cumsum(jump)

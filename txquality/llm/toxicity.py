@@ -8,7 +8,9 @@ limits): features are screened by their association with the grade, then
 weights and thresholds are learned together. Every document is scored over its
 whole text; the expected severity is the sum over k of P(grade > k).
 
-Grades come from the labels: 0 not toxic, 1 toxic, 2 toxic and of low quality.
+Grades come from the labels, in the order of harm: 0 sound, 1 of low quality, 2 toxic
+(the highest, so its documents may be as toxic as they like). Rejected is what is
+more likely toxic than not.
 
 Defined cases: NULL and empty texts have no feature and get the intercepts'
 severity; documents without a label, or with a NULL one, are scored and not
@@ -34,7 +36,7 @@ FIT_DOCUMENTS = 12_000
 FEATURE_BITS = 18
 PREFIX_BYTES = (4, 5, 6, 7, 8)
 LEAST_DOCUMENTS = 8
-SCREENED = 1024
+SCREENED = 2048
 # least chi-square of a feature against toxic or not
 LEAST_STRENGTH = 40.0
 STEPS = 400
@@ -54,7 +56,7 @@ class Model:
 
 def grade_of(labels: DataFrame) -> DataFrame:
     """(doc_id, grade) of labelled documents."""
-    grade = F.when(F.col("toxic") == 0, 0).when(F.col("quality") == 0, 2).when(F.col("toxic") == 1, 1)
+    grade = F.when(F.col("toxic") == 1, 2).when(F.col("toxic") == 0, F.when(F.col("quality") == 0, 1).otherwise(0))
     return labels.select("doc_id", grade.alias("grade")).where("grade is not null and doc_id is not null").groupBy("doc_id").agg(F.max("grade").cast("int").alias("grade"))
 
 
@@ -125,10 +127,13 @@ def _fit(table: pa.Table) -> pa.Table:
     levels, dense = np.unique(grade, return_inverse=True)
     kept, weights, thresholds = np.zeros(0, np.int64), np.zeros(0), np.where(np.arange(GRADES - 1) < levels[0], -30.0, 30.0)
     if len(levels) > 1:
-        toxic = present[levels[1] :].sum(0)
-        total, n, n_toxic = present.sum(0), len(grade), (grade >= levels[1]).sum()
-        expected = total * n_toxic / n
-        strength = np.where(total >= min(LEAST_DOCUMENTS, max(2, n // 50)), (toxic - expected) ** 2 / np.maximum(expected * (1 - total / (n + 1)), 1e-9), 0)
+        total, n = present.sum(0), len(grade)
+        strength = np.zeros(1 << FEATURE_BITS)
+        for level in levels[1:]:  # association with each split of the grades
+            expected = total * (grade >= level).sum() / n
+            found = (present[level:].sum(0) - expected) ** 2 / np.maximum(expected * (1 - total / (n + 1)), 1e-9)
+            strength = np.maximum(strength, found)
+        strength[total < min(LEAST_DOCUMENTS, max(2, n // 50))] = 0
         kept = np.sort(np.argsort(-strength, kind="stable")[:SCREENED])
         kept = kept[strength[kept] >= LEAST_STRENGTH * n / (n + 1000)]
         place = np.full(1 << FEATURE_BITS, -1)
@@ -173,13 +178,13 @@ def _score(model: object):
             row, feature, n = _counted(row[hit], feature[hit])
             s = np.bincount(row, weights[feature] * np.log1p(n), piece.num_rows)
             above = 1 / (1 + np.exp(np.clip(thresholds[None, :] - s[:, None], -500, 500)))
-            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(above.sum(1)), pa.array(above[:, 0])], [*piece.schema.names, "__severity", "__toxic"])
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(above.sum(1)), pa.array(above[:, -1])], [*piece.schema.names, "__severity", "__toxic"])
 
     return run
 
 
 def scored(docs: DataFrame, model: Model, severity: str = "severity", toxic: str = "p_toxic") -> DataFrame:
-    """The documents with expected severity (0 to GRADES - 1) and the probability of a grade above 0."""
+    """The documents with expected severity (0 to GRADES - 1) and the probability of the highest grade, toxic."""
     from pyspark.sql import types as T
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
