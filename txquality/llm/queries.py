@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txquality.llm import decontaminate, kd_shards, license_scan, line_dedup, pieces, toxicity
+from txquality.llm import decontaminate, interpolated_lm, kd_shards, license_scan, line_dedup, pieces, toxicity
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -20,6 +20,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of those outside the held-out seventh."""
+    docs = _table(spark, sf_dir, "documents")
+    return interpolated_lm.score_documents(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without later places of repeated three-line windows."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,7 +77,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_line_dedup, op4_kd_shards, op6_license_scan, op7_sentencepiece, op8_toxicity, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_interpolated_lm, op2_line_dedup, op4_kd_shards, op6_license_scan, op7_sentencepiece, op8_toxicity, op10_decontaminate)}
 
 
 def oracle() -> dict[str, str]:
