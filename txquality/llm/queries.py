@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txquality.llm import decontaminate, interpolated_lm, kd_shards, license_scan, line_dedup, pieces, toxicity
+from txquality.llm import decontaminate, interpolated_lm, jaccard_join, kd_shards, license_scan, line_dedup, pieces, toxicity
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -71,13 +71,18 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).select("doc_id", "severity", "p_toxic", toxicity.rejected().alias("rejected"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that link at 90 % of their three-word shingles."""
+    return jaccard_join.components(_table(spark, sf_dir, "documents"), 3, (9, 10))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents hold benchmark items, with changed values or without."""
     return decontaminate.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_interpolated_lm, op2_line_dedup, op4_kd_shards, op6_license_scan, op7_sentencepiece, op8_toxicity, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_interpolated_lm, op2_line_dedup, op4_kd_shards, op6_license_scan, op7_sentencepiece, op8_toxicity, op9_jaccard_join, op10_decontaminate)}
 
 
 def oracle() -> dict[str, str]:
