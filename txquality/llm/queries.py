@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txquality.llm import decontaminate, interpolated_lm, jaccard_join, kd_shards, license_scan, line_dedup, pieces, toxicity
+from txquality.llm import decontaminate, interpolated_lm, jaccard_join, kd_shards, language_id, license_scan, line_dedup, pieces, prefix_forest, toxicity
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -32,6 +32,15 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_repeated_passages(docs, removed="n_removed")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document and its spans, learned outside the held-out quarter."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = language_id.learn(docs.where(~held_out).select("lang", "text"))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
 def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of near-equal bytes."""
     docs = _table(spark, sf_dir, "documents")
@@ -42,6 +51,12 @@ def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", F.col("tie").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth one."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return prefix_forest.search(vectors, vectors.where("vec_id % 100 = 0"), "vec_id", "embedding")
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and templates of every document."""
     return license_scan.scan(_table(spark, sf_dir, "documents"))
@@ -82,7 +97,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_interpolated_lm, op2_line_dedup, op4_kd_shards, op6_license_scan, op7_sentencepiece, op8_toxicity, op9_jaccard_join, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_interpolated_lm, op2_line_dedup, op3_language_id, op4_kd_shards, op5_prefix_forest, op6_license_scan, op7_sentencepiece, op8_toxicity, op9_jaccard_join, op10_decontaminate)}
 
 
 def oracle() -> dict[str, str]:
