@@ -43,6 +43,8 @@ SCALE = 1_000_000
 BYTE_PENALTY = 10.0
 # parts up to so many characters are segmented side by side, longer ones are streamed
 SIDE_BY_SIDE = 40
+# ids that are decoded at once
+PIECE_IDS = 1_000_000
 _NO = np.int64(-(1 << 60))
 
 
@@ -301,35 +303,53 @@ class _Shared:
         return self.broadcast.value
 
 
-def _encode(shared: _Shared):
+def _same_rows(data: np.ndarray, bounds: np.ndarray, other: np.ndarray, other_bounds: np.ndarray) -> np.ndarray:
+    if np.array_equal(bounds, other_bounds) and np.array_equal(data, other):
+        return np.ones(len(bounds) - 1, bool)
+    a, b = data.tobytes(), other.tobytes()
+    return np.array([a[bounds[i] : bounds[i + 1]] == b[other_bounds[i] : other_bounds[i + 1]] for i in range(len(bounds) - 1)])
+
+
+def _encode(shared: _Shared, checked: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(shared)
         for piece in tk.pieces(batches):
             text = piece.column(piece.schema.get_field_index("text"))
             ids, bounds = code.encode([t or "" for t in text.to_pylist()])
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32), mask=np.append(~text.is_valid().to_numpy(zero_copy_only=False), False)) if text.null_count else pa.array(bounds.astype(np.int32)), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([*piece.columns, lists], [*piece.schema.names, "__ids"])
+            columns, names = [*piece.columns, lists], [*piece.schema.names, "__ids"]
+            if checked:
+                columns.append(pa.array(_same_rows(*tk.text_bytes(text), *code.decode(ids, bounds))))
+                names.append("__same")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
-def encoded(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
-    """The documents with the ids of their texts."""
+def encoded(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", round_trip: str | None = None) -> DataFrame:
+    """The documents with the ids of their texts; if a column is named, also whether decoding gives the text again."""
     shared = _Shared(docs.sparkSession.sparkContext.broadcast(vocabulary))
-    schema = T.StructType([*docs.schema.fields, T.StructField("__ids", T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(_encode(shared), schema).withColumnRenamed("__ids", ids)
+    more = [T.StructField("__ids", T.ArrayType(T.IntegerType())), *[T.StructField("__same", T.BooleanType())] * bool(round_trip)]
+    out = docs.mapInArrow(_encode(shared, bool(round_trip)), T.StructType([*docs.schema.fields, *more]))
+    return out.withColumnsRenamed({"__ids": ids, **({"__same": round_trip} if round_trip else {})})
 
 
 def _decode(shared: _Shared, ids: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(shared)
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids))
-            counts = np.array([0 if x is None else x for x in pac.list_value_length(lists).to_pylist()], np.int64)
-            data, ends = code.decode(lists.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(counts))))
-            raw = data.tobytes()
-            texts = [None if not ok else raw[a:b].decode() for ok, a, b in zip(lists.is_valid().to_pylist(), ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "__text"])
+            lengths = pac.fill_null(pac.list_value_length(batch.column(batch.schema.get_field_index(ids))), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            done = np.concatenate(([0], np.cumsum(lengths)))
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(done, done[at] + PIECE_IDS, "right")) - 1)
+                part = batch.slice(at, to - at)
+                lists = part.column(part.schema.get_field_index(ids))
+                data, ends = code.decode(lists.flatten().to_numpy(zero_copy_only=False), done[at : to + 1] - done[at])
+                raw = data.tobytes()
+                texts = [raw[a:b].decode() if ok else None for ok, a, b in zip(lists.is_valid().to_pylist(), ends, ends[1:])]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "__text"])
+                at = to
 
     return run
 
