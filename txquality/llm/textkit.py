@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 _BLOCK = 1 << 18
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)

@@ -67,16 +67,17 @@ def features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     shift = np.uint64(64 - FEATURE_BITS)
     hashes = tk.hash_prefixes(tk.LOWER[data], starts, ends, PREFIX_BYTES)
     size = ends - starts
-    at, found = [row], [(hashes[0] >> shift).astype(np.int64)]
+    row = row.astype(np.int32)
+    at, found = [row], [(hashes[0] >> shift).astype(np.int32)]
     for k, h in zip(PREFIX_BYTES, hashes[1:]):
         longer = size > k
         at.append(row[longer])
-        found.append((tk.mix(h[longer] + np.uint64(k)) >> shift).astype(np.int64))
+        found.append((tk.mix(h[longer] + np.uint64(k)) >> shift).astype(np.int32))
     return np.concatenate(at), np.concatenate(found)
 
 
 def _counted(row: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    key, n = np.unique((row << FEATURE_BITS) | feature, return_counts=True)
+    key, n = np.unique((row.astype(np.int64) << FEATURE_BITS) | feature, return_counts=True)
     return key >> FEATURE_BITS, key & ((1 << FEATURE_BITS) - 1), n
 
 
@@ -155,7 +156,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> Model:
     """The model, learned from about ``most`` labelled documents."""
     grades = stored(grade_of(labels).withColumn("__draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))), "grades")
     count = max(1, grades.count())
-    drawn = grades.where(F.col("__draw") < int(min(1.0, most / count) * (1 << 40))).withColumnRenamed("doc_id", "__id")
+    drawn = stored(grades.where(F.col("__draw") < int(min(1.0, most / count) * (1 << 40))).select(F.col("doc_id").alias("__id"), "grade"), "drawn")
+    if drawn.count() <= 2 * most:  # the draw's bound; ids are unique, so a hash that favours some cannot pass it unseen
+        drawn = F.broadcast(drawn)
     taken = docs.select("doc_id", "text").join(drawn, F.col("doc_id") == F.col("__id")).select("grade", "text")
     sample = stored(taken.mapInArrow(_sampled, "grade int, features binary, counts binary"), "toxicity-sample")
     found = sample.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(_fit, "feature long, weight double").toPandas()
