@@ -54,11 +54,12 @@ LEAST_OWNERS = 32
 # how many n-grams more than the shortest prefix are counted, as a part of the set
 EXTRA = 0.15
 # elements of all sets in a region that one task joins
-REGION_ELEMENTS = 2_000_000
+REGION_ELEMENTS = 300_000
 PIVOTS = 12
 LEVELS = 6
-SALT_ELEMENTS = 500_000
-BROADCAST_IDS = 200_000
+SALT_ELEMENTS = 150_000
+# so many rows of two or three longs are broadcast, more are joined by shuffle
+BROADCAST_ROWS = 200_000
 STORED_PIVOTS = 8
 _INDEX_BITS = 24
 _OTHER = np.uint64(0xA24BAED4963EE407)
@@ -197,16 +198,24 @@ def _look_up(least: tuple[int, int]):
 
 
 def _sets(n: int):
+    """Sets of the rows whose set is that of the class asked for by id."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in tk.pieces(batches, most=PIECE_BYTES):
             grams, bounds = shingles(*tk.text_bytes(piece.column(0)), n)
             k1, k2 = set_keys(grams, bounds)
             raw = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * 8).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(grams))])
-            yield pa.RecordBatch.from_arrays([pa.array(tk.signed(k1)), pa.array(tk.signed(k2)), raw.cast(pa.binary())], ["k1", "k2", "grams"])
+            same = (tk.signed(k1) == piece.column(2).to_numpy()) & (tk.signed(k2) == piece.column(3).to_numpy())
+            yield pa.RecordBatch.from_arrays([piece.column(1), raw.cast(pa.binary())], ["cid", "grams"]).filter(pa.array(same))
 
     return run
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if its rows, of a few longs each, are counted to be few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 class _Members:
     """Sets of a group of documents, flattened."""
 
@@ -269,11 +278,10 @@ def region_links(members: _Members, least: tuple[int, int]) -> list[tuple[int, i
 
 def _join_region(least: tuple[int, int]):
     def run(table: pa.Table) -> pa.Table:
-        cids = table.column("cid").to_numpy()
-        order = np.argsort(cids)
+        cids, order = np.unique(table.column("cid").to_numpy(), return_index=True)
         blobs = table.column("grams").take(pa.array(order)).to_pylist()
         links = region_links(_Members(blobs), least)
-        a, b = (cids[order][np.array([x[k] for x in links], np.int64)] if links else np.zeros(0, np.int64) for k in (0, 1))
+        a, b = (cids[np.array([x[k] for x in links], np.int64)] if links else np.zeros(0, np.int64) for k in (0, 1))
         return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
     return run
@@ -293,8 +301,7 @@ def _nearest(least: tuple[int, int]):
             region = members.column("region")[0].as_py()
             own = _Members(members.column("grams").to_pylist())
             cids, all_members = members.column("cid").to_numpy(), np.arange(members.num_rows)
-            order = np.argsort(pivots.column("cid").to_numpy())
-            heads = pivots.column("cid").to_numpy()[order]
+            heads, order = np.unique(pivots.column("cid").to_numpy(), return_index=True)
             sets = [np.frombuffer(b, np.uint64) for b in pivots.column("grams").take(pa.array(order)).to_pylist()]
             common = np.stack([own.common(s, all_members) for s in sets], 1)
             union = own.sizes[:, None] + np.array([len(s) for s in sets])[None, :] - common
@@ -318,11 +325,12 @@ def _renewed(df: DataFrame) -> DataFrame:
 def _split(regions: DataFrame, sets: DataFrame, least: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """One level of cells for large regions: their members by cell, and the links with the pivots."""
     reach = 1 - least[0] / least[1]
-    full = regions.join(sets, "cid")
+    full = sets.join(_small(regions), "cid")
     parts = F.greatest(F.lit(1), F.ceil(F.col("elements") / SALT_ELEMENTS))
     salted = full.withColumn("salt", F.pmod(F.xxhash64("cid"), parts).cast("long")).select("region", "salt", "cid", "grams")
     draw = Window.partitionBy("region").orderBy(F.xxhash64("cid", "region"), "cid")
-    heads = regions.withColumn("n", F.row_number().over(draw)).where(F.col("n") <= PIVOTS).drop("n", "size").join(sets, "cid")
+    heads = regions.withColumn("n", F.row_number().over(draw)).where(F.col("n") <= PIVOTS).drop("n", "size")
+    heads = sets.join(_small(heads), "cid")
     spread = heads.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long")))).select("region", "salt", "cid", "grams")
     cells = stored(
         salted.groupBy("region", "salt").cogroup(_renewed(spread).groupBy("region", "salt")).applyInArrow(_nearest(least), _CELLS),
@@ -367,7 +375,7 @@ def links(regions: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFr
     every = ready[0]
     for more in ready[1:]:
         every = every.unionByName(more)
-    found.append(every.join(sets, "cid").groupBy("region").applyInArrow(_join_region(least), "a long, b long"))
+    found.append(sets.join(_small(every), "cid").groupBy("region").applyInArrow(_join_region(least), "a long, b long"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -415,12 +423,10 @@ def components(docs: DataFrame, n: int, least: tuple[int, int]) -> DataFrame:
     regions = stored(regions.join(classes.select("cid", "size"), "cid"), "regions")
 
     involved = stored(regions.select("cid").distinct().join(classes.select("cid", "doc_id", "k1", "k2"), "cid"), "involved")
-    wanted = involved.select(F.col("doc_id").alias("__id")).distinct()
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select("text")
-    of_class = involved.select("cid", "k1", "k2")
-    sets = stored(texts.mapInArrow(_sets(n), "k1 long, k2 long, grams binary").join(of_class, ["k1", "k2"]).select("cid", "grams").dropDuplicates(["cid"]), "sets")
+    wanted = _small(involved.select(F.col("doc_id").alias("__id"), "cid", "k1", "k2"))
+    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id"))).select("text", "cid", "k1", "k2")
+    # rows that repeat an id and its text give a set more than once; the tasks that join take one
+    sets = stored(texts.mapInArrow(_sets(n), "cid long, grams binary"), "sets")
 
     roots = connected(links(regions, sets, least))
     linked = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))

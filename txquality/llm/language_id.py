@@ -128,7 +128,7 @@ def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table += np.bincount((1 << SLOT_BITS) + w.script[own], np.diff(w.first)[own], width).astype(np.int64)
     for name, table in sums.items():
         held = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array([name] * len(held)), pa.array(held), pa.array(table[held])], ["lang", "slot", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([str(name)] * len(held), pa.string()), pa.array(held), pa.array(table[held])], ["lang", "slot", "n"])
 
 
 def learn(labelled: DataFrame) -> Model:

@@ -33,7 +33,7 @@ def _text_key() -> Column:
 
 def windows(docs: DataFrame) -> DataFrame:
     """(doc_id, text key, k, h1, h2): the k-th window of each text and a 128-bit hash of its lines."""
-    lines = F.filter(F.transform(F.split("text", "\n"), F.trim), lambda line: line != "")
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda line: F.trim(line)), lambda line: line != "")
     hashes = F.transform(lines, lambda line: F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit("line"), line).alias("b")))
     window = lambda k, part: F.xxhash64(*[F.col("hashes")[k + i][part] for i in range(WINDOW_LINES)])
     return (

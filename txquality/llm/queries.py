@@ -95,8 +95,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_interpolated_lm, op2_line_dedup, op3_language_id, op4_kd_shards, op5_prefix_forest, op6_license_scan, op7_sentencepiece, op8_toxicity, op9_jaccard_join, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_interpolated_lm, op2_line_dedup, op3_language_id, op4_kd_shards, op5_prefix_forest, op6_license_scan, op7_sentencepiece, op8_toxicity, op9_jaccard_join, op10_decontaminate, pipeline)}
 
 
 def oracle() -> dict[str, str]:

@@ -173,7 +173,7 @@ def pack(values: np.ndarray) -> bytes:
         if top <= np.iinfo(kind).max:
             break
     values = values.astype(kind)
-    planes = values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    planes = values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes()
     head = np.array([values.dtype.itemsize, len(values)], np.int64).tobytes()
     return head + pa.compress(planes, "zstd", asbytes=True)
 
