@@ -1,0 +1,91 @@
+import random
+
+import pytest
+
+from txquality.llm import jaccard_join as jj
+
+
+def shingle_set(text, n):
+    w = (text or "").encode().lower().split()
+    return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
+
+
+def brute(docs, n, num, den):
+    sets = [shingle_set(t, n) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if common and common * den >= num * len(a | sets[j]):
+                root[find(i)] = find(j)
+    ids = {}
+    for i, (doc_id, _) in enumerate(docs):
+        ids.setdefault(find(i), []).append(doc_id)
+    least = {k: min((x for x in v if x is not None), default=None) for k, v in ids.items()}
+    return sorted(((d, len(s), least[find(i)] if s else d) for i, ((d, _), s) in enumerate(zip(docs, sets))), key=repr)
+
+
+def check(docs, n=3, least=(9, 10)):
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jj.components(docs, n, least).collect()), key=repr)
+    assert got == brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], n, *least)
+
+
+def families(seed, families=12, copies=12, edits=6):
+    draw = random.Random(seed)
+    out = []
+    for _ in range(families):
+        base = [f"w{draw.randrange(30 if draw.random() < 0.3 else 3000)}" for _ in range(draw.randrange(1, 90))]
+        for _ in range(draw.randrange(1, copies)):
+            words = list(base)
+            for _ in range(draw.randrange(edits)):
+                words[draw.randrange(len(words))] = f"e{draw.randrange(5000)}"
+            out.append(" ".join(words[: len(words) - draw.randrange(3)]))
+    return out
+
+
+@pytest.mark.parametrize("least", [(9, 10), (8, 10), (5, 10)])
+def test_families_of_near_copies(make, least):
+    check(make(families(least[0])), 3, least)
+
+
+def test_large_regions_are_split_by_pivots_and_blocks(make, monkeypatch):
+    monkeypatch.setattr(jj, "REGION_ELEMENTS", 1500)
+    monkeypatch.setattr(jj, "SALT_ELEMENTS", 700)
+    monkeypatch.setattr(jj, "PIVOTS", 3)
+    monkeypatch.setattr(jj, "LEVELS", 1)
+    check(make(families(3, families=3, copies=60, edits=9)), 3, (8, 10))
+
+
+def test_a_shared_passage_links_nothing(make):
+    draw = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(20))
+    check(make([passage + " " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(60)) for _ in range(120)]))
+
+
+def test_links_at_the_threshold_exactly(make):
+    words = [f"w{i}" for i in range(40)]
+    check(make([" ".join(words), " ".join(words[:38]), " ".join(words[:37]), " ".join(words[4:]), "a b c", "A  b\tc", "a b", "a B", "a"]), 1, (9, 10))
+
+
+def test_odd_rows(odd):
+    check(odd)
+    assert jj.components(odd.limit(0), 3, (9, 10)).collect() == []
+
+
+def test_one_of_each_group_stays(make):
+    docs = make(["a b c d e f", "a b c d e f", "g h i j k l", None, "", "a b c d e f"])
+    kept = jj.one_of_each(docs, 5, (8, 10))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3, 4] and kept.columns == docs.columns
+
+
+def test_chains_are_one_component(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100)], "a long, b long")
+    roots = {r.node: r.root for r in jj.connected(edges).collect()}
+    assert roots == {**{i: 0 for i in range(1, 61)}, 101: 100}
