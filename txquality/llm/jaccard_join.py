@@ -17,7 +17,8 @@ Jaccard distance is a metric, so a document at distance d from a pivot links
    cell whose pivot is at most 2e farther (a link cannot reach beyond). What
    links with the pivot itself is connected already, and stays only where the
    window of a document outside still reaches it. Cells are split again until
-   they are small; one that pivots don't split is joined block by block.
+      they are small; a region that pivots do not part (its cells overlap too much)
+   is joined whole, every two blocks of it in a task.
 4. A small region is joined exactly in its task: pivot after pivot, comparing
    only documents within the windows of all earlier pivots, that are of fitting
    size and not connected yet.
@@ -54,10 +55,12 @@ LEAST_OWNERS = 32
 # how many n-grams more than the shortest prefix are counted, as a part of the set
 EXTRA = 0.15
 # elements of all sets in a region that one task joins
-REGION_ELEMENTS = 300_000
+REGION_ELEMENTS = 2_000_000
 PIVOTS = 12
 LEVELS = 6
-SALT_ELEMENTS = 150_000
+# a region whose cells together hold more than so many times its documents is joined in blocks instead
+SPREAD = 2.0
+SALT_ELEMENTS = 500_000
 # so many rows of two or three longs are broadcast, more are joined by shuffle
 BROADCAST_ROWS = 200_000
 STORED_PIVOTS = 8
@@ -322,8 +325,8 @@ def _renewed(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{c}_") for c in df.columns]).toDF(*df.columns)
 
 
-def _split(regions: DataFrame, sets: DataFrame, least: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-    """One level of cells for large regions: their members by cell, and the links with the pivots."""
+def _split(regions: DataFrame, sets: DataFrame, least: tuple[int, int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One level of cells for large regions: their members by cell, members of those that pivots do not part, and the links with the pivots."""
     reach = 1 - least[0] / least[1]
     full = sets.join(_small(regions), "cid")
     parts = F.greatest(F.lit(1), F.ceil(F.col("elements") / SALT_ELEMENTS))
@@ -338,8 +341,12 @@ def _split(regions: DataFrame, sets: DataFrame, least: tuple[int, int]) -> tuple
     )
     outside = cells.where("not linked and cid <> pivot").groupBy("region", "cell").agg(F.min("distance").alias("nearest"))
     # a document that links with the pivot stays only within the window of one that does not
-    kept = cells.join(outside, ["region", "cell"]).where(F.col("distance") >= F.col("nearest") - reach - 1e-9)
-    return kept.select(F.xxhash64("region", "cell").alias("region"), "cid", "size").distinct(), cells.where("linked").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
+    kept = stored(cells.join(outside, ["region", "cell"]).where(F.col("distance") >= F.col("nearest") - reach - 1e-9).select("region", "cell", "cid", "size"), "jaccard-kept")
+    before = regions.groupBy("region").agg(F.count("*").alias("before"))
+    spread_out = kept.groupBy("region").agg(F.count("*").alias("after")).join(before, "region").where(F.col("after") > SPREAD * F.col("before")).select("region")
+    parted = kept.join(spread_out, "region", "left_anti").select(F.xxhash64("region", "cell").alias("region"), "cid", "size")
+    whole = regions.join(spread_out, "region", "left_semi")
+    return parted.distinct(), whole, cells.where("linked").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
 
 
 def _blocks(regions: DataFrame) -> DataFrame:
@@ -369,8 +376,9 @@ def links(regions: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFr
         if level == LEVELS:
             ready.append(_blocks(large).select("region", "cid").distinct())
             break
-        cells, with_pivots = _split(large, sets, least)
+        cells, whole, with_pivots = _split(large, sets, least)
         found.append(with_pivots)
+        ready.append(_blocks(whole).select("region", "cid").distinct())
         regions = stored(_weighed(cells), "jaccard-regions")
     every = ready[0]
     for more in ready[1:]:
