@@ -333,7 +333,22 @@ def oracle() -> dict[str, str]:
             "when rows_loaded = 0 then 'LOAD_FAILED' else 'PARTIALLY_LOADED' end as status "
             f"from (select {fixtures.LOAD_GROUP} as load_group, count(*) as rows_parsed, "
             f"count(*) filter (where not ({BAD_CELL})) as rows_loaded, "
-            f"count(*) filter (where {BAD_CELL}) as errors_seen from tx group by 1)"
+            f"count(*) filter (where {BAD_CELL}) as errors_seen from tx group by 1) "
+            "union all select 'none', 0, 0, 0, 'LOADED'"
+        ),
+        "scan_folder_multiline": _chain(
+            "select "
+            + TX.replace(
+                "description,",
+                "case when k % 13 = 0 then 'Line,' || chr(10) || 'broken ' || cast(k as varchar) else description end as description,",
+            )
+            + " from tx"
+        ),
+        "bronze_ingest_without_customers": _chain(_summary("Transactions", "bronze")),
+        "bronze_two_deliveries": _chain(f"select {TX}, {FLAGS} from bronze"),
+        "raw_load_job": _chain(
+            "select 'transactions' as table_name, count(*) as row_count, count(*) as rows_loaded, 0 as errors_seen from tx "
+            "union all select 'customers', count(*), count(*), 0 from cust"
         ),
         "raw_load_verify_count": _chain(f"select count(*) as row_count from tx where not ({BAD_CELL})"),
         "bronze_parse_timestamps": _chain(
@@ -448,11 +463,14 @@ def _expectation_queries() -> dict[str, str]:
             "expect_unique",
             ("unique(transaction_id)", "transaction_id", 1.0, _duplicates("bronze", "transaction_id")),
             ("unique(absent)", "absent", 1.0, _absent()),
+            ("unique(score)", "score", 1.0, _duplicates("(select case when amount >= 0 then amount end as score from bronze)", "score")),
         ),
         "expect_values_in_set": checks(
             "expect_values_in_set",
             ("values_in_set(currency, mostly=0.97)", "currency", 0.97, _in_set("bronze", "currency", CURRENCIES, 0.97)),
             ("values_in_set(status, mostly=0.98)", "status", 0.98, _in_set("bronze", "status", STATUSES, 0.98)),
+            ("values_in_set(status, mostly=1.0)", "status", 1.0, _in_set("bronze", "status", "('none of them')", 1.0)),
+            ("values_in_set(amount, mostly=1.0)", "amount", 1.0, _in_set("bronze", "cast(amount as varchar)", "('none of them')", 1.0)),
         ),
         "expect_values_between": checks(
             "expect_values_between",

@@ -1,7 +1,10 @@
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import AT, FAULTS, bronze_of, clean_rows, dirty_rows, one, raw
+from querybook.catalog import write_csv
+from tests.helpers import AT, CLEAN, FAULTS, bronze_of, clean_rows, dirty_rows, one, plan, raw
 from txquality import schemas
 from txquality.operators import profile
 from txquality.plans import bronze
@@ -19,7 +22,7 @@ def test_each_fault_sets_its_flag_alone(spark, flag):
 
 def test_clean_rows_have_no_issue(spark):
     flagged = bronze.flag_transactions(raw(spark, *clean_rows()))
-    assert flagged.filter("dq_has_issues = false").count() == 10
+    assert flagged.filter("dq_has_issues = false").count() == CLEAN
 
 
 def test_flags_are_three_valued(spark):
@@ -139,3 +142,32 @@ def test_hot_month_is_split_among_files(spark, tmp_path):
     assert per_month[6] > 2
     # the other months are not written in pieces by every task
     assert min(per_month.values()) == 1 and sum(per_month.values()) < 6 * len(per_month)
+
+
+def _deliver(spark, folder, target, delivery, *rows):
+    write_csv(raw(spark, *rows), f"{folder}/{delivery}/transactions.csv")
+    return bronze.run_bronze(spark, f"{folder}/{delivery}", str(target), AT, delivery_id=delivery)
+
+
+def test_deliveries_of_one_month_are_all_kept(spark, tmp_path):
+    late = {"transaction_date": "2024-05-30T01:00:00"}
+    _deliver(spark, tmp_path / "a", tmp_path / "bronze", "d1", {"transaction_id": "a"}, {"transaction_id": "b", **late})
+    for _ in range(2):  # the same delivery again replaces itself
+        summary = _deliver(spark, tmp_path / uuid.uuid4().hex, tmp_path / "bronze", "d2", {"transaction_id": "c"}, {"transaction_id": "d", "transaction_date": None, **late})
+    assert one(summary)["total_rows"] == 2
+    stored = bronze.read_bronze_transactions(spark, str(tmp_path / "bronze"))
+    assert sorted(r["transaction_id"] for r in stored.collect()) == ["a", "b", "c", "d"]
+    assert stored.schema == schemas.BRONZE_TRANSACTIONS
+    with pytest.raises(ValueError, match="filled the other way"):
+        bronze.run_bronze(spark, f"{tmp_path}/a/d1", str(tmp_path / "bronze"), AT)
+
+
+def test_a_delivery_s_summary_reads_its_partitions_alone(spark, tmp_path):
+    _deliver(spark, tmp_path / "a", tmp_path / "bronze", "d1", {"transaction_id": "a"})
+    summary = _deliver(spark, tmp_path / "a", tmp_path / "bronze", "d2", {"transaction_id": "b"})
+    filters = plan(summary).split("PartitionFilters: [")[1].split("]")[0]
+    assert "_delivery_id" in filters
+
+
+def test_run_ids_differ_within_a_second():
+    assert len({bronze.new_run()[1] for _ in range(50)}) == 50

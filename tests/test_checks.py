@@ -1,11 +1,13 @@
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import AT, bronze_of, clean_rows, dirty_rows, one, plan, raw
+from tests.helpers import AT, CLEAN, bronze_of, clean_rows, dirty_rows, one, plan, raw
 from txquality import schemas
 from txquality.operators import expectations as ex
 from txquality.operators import table_tests
-from txquality.plans import bronze, silver, validation
+from txquality.plans import bronze, silver, validation, warehouse
 from txquality.plans.warehouse import run_refinement
 
 
@@ -159,11 +161,35 @@ def test_refinement_passes_its_tests(spark, tmp_path):
         spark.createDataFrame([("c1",) + ("x",) * 8, ("c2",) + ("x",) * 8], schemas.CUSTOMERS)
     )
     done = run_refinement(spark, rows, customers, str(tmp_path), AT, "r1")
-    assert done.silver.count() == 10 and done.gold.count() == 3
+    assert done.silver.count() == CLEAN and done.gold.count() == 4
     tests = done.tests.collect()
     assert len(tests) == 10 and not any(r["should_error"] for r in tests)
-    assert spark.table("stg_transactions").count() == 20
+    assert spark.table("stg_transactions").count() == 2 * CLEAN
 
     again = run_refinement(spark, bronze_of(raw(spark, *clean_rows()[:1])), customers, str(tmp_path), AT, "r2")
-    assert again.silver.count() == 10
-    assert spark.table(silver.SILVER_TABLE).count() == 10
+    assert again.silver.count() == CLEAN
+    assert spark.table(silver.SILVER_TABLE).count() == CLEAN
+
+
+def test_suites_at_the_edges(spark):
+    odd = spark.createDataFrame([(1.0, "a"), (float("nan"), "a"), (float("nan"), None)], "`x.y` double, z string")
+    assert ex.run_suite(odd, "none", []).count() == 0
+    assert table_tests.run_table_tests({"t": odd}, []).count() == 0
+    checks = [ex.unique("x.y"), ex.no_nulls("x.y"), ex.values_in_set("x.y", ("a", True)), ex.values_between("x.y", low=0), ex.not_negative("x.y"), ex.values_in_set("z", (1, False))]
+    found = {r["check_name"].split("(")[0] + r["column_name"]: (r["success"], r["observed"]) for r in ex.run_suite(odd, "s", checks).collect()}
+    assert found["uniquex.y"] == (True, 0.0) and found["values_in_setx.y"] == (False, 0.0) and found["values_in_setz"] == (False, 0.0)
+    assert found["no_nullsx.y"][1] == pytest.approx(2 / 3) and found["values_betweenx.y"][0]
+    assert one(table_tests.unique(odd, "x.y"))["failures"] == 1 and one(table_tests.not_null(odd, "x.y"))["failures"] == 0
+
+
+def test_a_refinement_whose_gold_step_failed_resumes(spark, tmp_path, monkeypatch):
+    names = warehouse.Names(*(f"{n}_{uuid.uuid4().hex}" for n in ("stg", "silver", "gold")))
+    rows, customers = bronze_of(raw(spark, *clean_rows())), spark.createDataFrame([("c",) + ("x",) * 8], schemas.CUSTOMERS)
+    gold_step = warehouse.run_gold
+    monkeypatch.setattr(warehouse, "run_gold", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        run_refinement(spark, rows, customers, str(tmp_path), AT, "r1", names)
+    monkeypatch.setattr(warehouse, "run_gold", gold_step)
+    assert run_refinement(spark, rows, customers, str(tmp_path), AT, "r1", names).gold.count() == 4
+    with pytest.raises(ValueError, match="already has"):
+        run_refinement(spark, rows, customers, str(tmp_path), AT, "r1", names)

@@ -1,9 +1,12 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.helpers import VALID, raw
 from txquality import schemas
+from txquality.functions.text import typed
 from txquality.plans.validation import run_validation
 from txquality.plans.warehouse import raw_tables, run_raw_load, verify_load
 from txquality.sources import files, raw_load
@@ -148,3 +151,38 @@ def test_both_raw_tables_load(spark, tmp_path):
     assert len(results) == 28
     failed = {r["check_name"] for r in results if not r["success"]}
     assert failed == {"row_count_above(100)", "row_count_above(10)"}
+
+
+def test_line_breaks_in_quoted_cells(spark, tmp_path):
+    _csv(tmp_path / "in/a.csv", _line(transaction_id="q1", description='"one\ntwo, three"'), _line(transaction_id="q2"))
+    found = files.read_csv_folder(spark, str(tmp_path / "in"), schemas.TRANSACTIONS, multi_line=True)
+    assert sorted((r["transaction_id"], r["description"] or "") for r in found.collect())[0] == ("q1", "one\ntwo, three")
+    assert found.count() == 2
+    with pytest.raises(Exception, match="other cells"):
+        files.read_csv_folder(spark, str(tmp_path / "in"), schemas.TRANSACTIONS).collect()
+    report = raw_load.load_table(spark, str(tmp_path / "in"), schemas.TRANSACTIONS, str(tmp_path / "raw"), "l1", multi_line=True)
+    assert [(r["rows_loaded"], r["errors_seen"]) for r in report.collect()] == [(2, 0)]
+
+
+def test_a_row_with_a_cell_too_many_is_an_error(spark, tmp_path):
+    _csv(tmp_path / "a.csv", _line(transaction_id="a"), _line(transaction_id="b") + ",extra")
+    with pytest.raises(Exception, match="other cells"):
+        files.read_csv_folder(spark, str(tmp_path), schemas.TRANSACTIONS).collect()
+
+
+def test_a_row_with_few_cells_is_filled(spark, tmp_path):
+    _csv(tmp_path / "a.csv", "t1,c1,PAYMENT", _line(transaction_id="b"))
+    found = files.read_csv_folder(spark, str(tmp_path), schemas.TRANSACTIONS)
+    assert sorted((r["transaction_id"], r["amount"]) for r in found.collect()) == [("b", 100.0), ("t1", None)]
+
+
+def test_fractions_do_not_fit_whole_numbers(spark):
+    cells = spark.createDataFrame([("2024.7",), ("6.0",), ("7",), ("x",), (None,)], "c string")
+    assert [r[0] for r in cells.select(typed(F.col("c"), T.IntegerType())).collect()] == [None, 6, 7, None, None]
+
+
+def test_files_without_rows_are_reported(spark, tmp_path):
+    _csv(tmp_path / "in/some.csv", _line())
+    _csv(tmp_path / "in/none.csv")
+    report = raw_load.load_table(spark, str(tmp_path / "in"), schemas.TRANSACTIONS, str(tmp_path / "raw"), "l1").collect()
+    assert {(r["file"].rsplit("/", 1)[-1], r["rows_parsed"], r["status"]) for r in report} == {("some.csv", 1, "LOADED"), ("none.csv", 0, "LOADED")}

@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(name: str) -> str:
+    """A column's name for an expression, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def trimmed(name: str) -> Column:
     return F.trim(F.col(name))
 
@@ -25,16 +30,18 @@ def null_if_token(name: str, tokens: Sequence[str]) -> Column:
 
 def typed(text: Column, kind: T.DataType) -> Column:
     """Text as ``kind``, NULL where it does not fit. Whole numbers may be written
-    with decimals, as tools do that hold a column with gaps as floating point."""
+    with decimals, as tools do that hold a column with gaps as floating point; a
+    number with a fraction does not fit."""
     if isinstance(kind, T.IntegralType):
-        return text.try_cast("decimal(18,0)").try_cast(kind)
+        number = text.try_cast("decimal(38,18)")
+        return F.when(number == F.floor(number), number.try_cast(kind))
     return text.try_cast(kind)
 
 
 def number_or_null(df: DataFrame, name: str) -> Column:
     """``name`` as double; text that is no number, and NaN, become NULL."""
     kind = df.schema[name].dataType
-    column = F.col(name)
+    column = F.col(quoted(name))
     if isinstance(kind, T.StringType):
         # "1d" and "2.5F" are numbers to the cast but not to a reader of plain CSV
         column = F.when(~column.rlike(r"[0-9.][dDfF]\s*$"), column)

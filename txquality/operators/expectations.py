@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +19,7 @@ from pyspark.sql import types as T
 
 from txquality import schemas
 from txquality.functions.money import ratio
-from txquality.functions.text import number_or_null
+from txquality.functions.text import number_or_null, quoted
 
 
 @dataclass(frozen=True)
@@ -123,6 +125,12 @@ class _Compiled:
     name: str | None = None
 
 
+RESULT = (
+    "suite string, position int, check_name string, column_name string, mostly double, observed double, "
+    "detail string, success boolean"
+)
+
+
 def run_suite(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
     """One row per check, ``position`` giving the order of the suite.
 
@@ -130,6 +138,8 @@ def run_suite(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
     or a count), detail, success. A check on an absent column fails.
     """
     shared: dict[str, Column] = {"_rows": F.count(F.lit(1))}
+    if not checks:
+        return df.sparkSession.createDataFrame([], RESULT)
     rows = []
     parts = []
     for position, check in enumerate(checks, start=1):
@@ -203,10 +213,31 @@ def _compile(df: DataFrame, check: Check, tag: str) -> _Compiled:
     return rate_of[check.kind](df, check, tag)
 
 
+def _is_missing(df: DataFrame, name: str) -> Column:
+    """NULL, or not a number in a column of floating point."""
+    column = F.col(quoted(name))
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return column.isNull() | F.isnan(column)
+    return column.isNull()
+
+
+def members(kind: T.DataType, values: Sequence[object]) -> list[object]:
+    """The values that a column of this type can hold; no cell equals any of the others."""
+    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
+        return [v for v in values if isinstance(v, str)]
+    if isinstance(kind, T.BooleanType):
+        return [v for v in values if isinstance(v, bool)]
+    if isinstance(kind, T.NumericType):
+        return [v for v in values if isinstance(v, (int, float, Decimal)) and not isinstance(v, bool)]
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return [v for v in values if isinstance(v, datetime)]
+    if isinstance(kind, T.DateType):
+        return [v for v in values if isinstance(v, date) and not isinstance(v, datetime)]
+    return []
+
+
 def _null_rate(df: DataFrame, check: Check, tag: str) -> _Compiled:
-    missing = F.col(check.column).isNull()
-    if isinstance(df.schema[check.column].dataType, (T.FloatType, T.DoubleType)):
-        missing = missing | F.isnan(check.column)
+    missing = _is_missing(df, check.column)
     rate = ratio(F.col(tag), F.col("_rows"))
     return _tolerant(
         (F.lit(1.0) - rate) >= F.lit(check.mostly), rate, "null_rate", {tag: F.count_if(missing)}
@@ -214,7 +245,8 @@ def _null_rate(df: DataFrame, check: Check, tag: str) -> _Compiled:
 
 
 def _valid_rate(df: DataFrame, check: Check, tag: str) -> _Compiled:
-    valid = F.col(check.column).isin(*check.values)
+    values = members(df.schema[check.column].dataType, check.values)
+    valid = F.col(quoted(check.column)).isin(*values) if values else F.lit(False)
     rate = ratio(F.col(tag), F.col("_rows"))
     return _tolerant(rate >= F.lit(check.mostly), rate, "valid_rate", {tag: F.count_if(valid)})
 
@@ -258,8 +290,8 @@ def _unique_result(df: DataFrame, suite: str, position: int, check: Check) -> Da
     """Rows beyond the first of each value. Rows are counted per value before
     the shuffle, so a value that fills much of the table is one row per task."""
     per_value = (
-        df.filter(F.col(check.column).isNotNull())
-        .groupBy(check.column)
+        df.filter(~_is_missing(df, check.column))
+        .groupBy(F.col(quoted(check.column)))
         .agg(F.count(F.lit(1)).alias("_n"))
         .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_excess"))
     )

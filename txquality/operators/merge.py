@@ -16,8 +16,9 @@ def merge(target: DataFrame, source: DataFrame, key: str, source_is_unique: bool
     """
     target = target.select(*source.columns)
     checked = source if source_is_unique else refuse_bad_keys(source, key)
-    new, old = checked.alias("new"), target.alias("old")
-    from_new = F.col(f"new.{key}").isNotNull()
+    # a marker tells the sides apart, as a key vouched for as unique may be NULL once
+    new, old = checked.withColumn("_from_new", F.lit(True)).alias("new"), target.alias("old")
+    from_new = F.col("new._from_new").isNotNull()
     return new.join(old, F.col(f"new.{key}") == F.col(f"old.{key}"), "full_outer").select(
         *(
             F.when(from_new, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txquality import schemas
+from txquality.functions.text import quoted
 from txquality.operators.profile import value_counts
 
 
@@ -39,14 +40,13 @@ STANDARD_TESTS = (
 )
 
 
-def null_rows(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNull()).select(column)
+RESULT = "table_name string, test_name string, column_name string, failures long, should_warn boolean, should_error boolean"
 
 
 def repeated_values(df: DataFrame, column: str) -> DataFrame:
     """Each value that occurs more than once, with its rows; NULL is not a value."""
-    present = df.filter(F.col(column).isNotNull())
-    return value_counts(present, column).filter(F.col("n_records") > 1)
+    present = df.filter(F.col(quoted(column)).isNotNull())
+    return value_counts(present, quoted(column)).filter(F.col("n_records") > 1)
 
 
 def unaccepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
@@ -54,7 +54,7 @@ def unaccepted_values(df: DataFrame, column: str, values: Sequence[str]) -> Data
 
     The condition is on the grouping key, so it is applied before the shuffle.
     """
-    return value_counts(df, column).filter(~F.col("value_field").isin(*values))
+    return value_counts(df, quoted(column)).filter(~F.col("value_field").isin(*values))
 
 
 def not_null(df: DataFrame, column: str, table: str = "") -> DataFrame:
@@ -77,6 +77,8 @@ def run_table_tests(
     All not_null tests of a table share one scan; each other test reads its one
     column. Pass stored tables: every branch reads its input again.
     """
+    if not tests:
+        return next(iter(tables.values())).sparkSession.createDataFrame([], RESULT)
     parts = []
     for table in dict.fromkeys(t.table for t in tests):
         own = [t for t in tests if t.table == table]
@@ -89,7 +91,7 @@ def run_table_tests(
 
 def _null_counts(df: DataFrame, tests: Sequence[TableTest]) -> DataFrame:
     counted = df.agg(
-        *(F.count_if(F.col(t.column).isNull()).alias(f"n{i}") for i, t in enumerate(tests))
+        *(F.count_if(F.col(quoted(t.column)).isNull()).alias(f"n{i}") for i, t in enumerate(tests))
     )
     rows = [_result(t, F.col(f"n{i}")) for i, t in enumerate(tests)]
     return counted.select(F.inline(F.array(*rows)))

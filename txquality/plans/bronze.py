@@ -1,10 +1,14 @@
 """Bronze layer: raw rows, parsed dates, fault flags and audit columns.
 
-Every row is kept; faults are flagged, not removed.
+Every row of a delivery is kept; faults are flagged, not removed. Deliveries are
+stored either as replacements (each is a whole export of its months) or side by
+side under a delivery id; see ``run_bronze``.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,16 +17,18 @@ from pyspark.sql import functions as F
 from txquality import schemas
 from txquality.functions import dates, quality
 from txquality.operators.profile import dq_summary
+from txquality.session import require_utc
 from txquality.sinks import write_partitioned, write_plain
 from txquality.sources.files import customers_csv, if_present, transactions_csv, union_all
 
 PARTITION_COLUMNS = ("partition_year", "partition_month")
+DELIVERY_COLUMN = "_delivery_id"
 
 
 def new_run() -> tuple[datetime, str]:
     """Ingestion time and run id, fixed once so that every task and rerun agrees."""
     now = datetime.now(timezone.utc)
-    return now, now.strftime("%Y%m%d_%H%M%S")
+    return now, f"{now.strftime('%Y%m%d_%H%M%S_%f')}_{uuid.uuid4().hex[:6]}"
 
 
 def with_audit(df: DataFrame, source_file: str, ingested_at: datetime, run_id: str) -> DataFrame:
@@ -70,6 +76,11 @@ def bronze_customers(
 
 
 def read_bronze_transactions(spark: SparkSession, bronze_dir: str) -> DataFrame:
+    """All stored rows, of every delivery; the delivery id is left out."""
+    return _stored_transactions(spark, bronze_dir).select(*schemas.BRONZE_TRANSACTIONS.fieldNames())
+
+
+def _stored_transactions(spark: SparkSession, bronze_dir: str) -> DataFrame:
     return spark.read.schema(schemas.BRONZE_TRANSACTIONS).parquet(f"{bronze_dir}/transactions")
 
 
@@ -77,6 +88,12 @@ def read_bronze_customers(spark: SparkSession, bronze_dir: str) -> DataFrame:
     return spark.read.schema(schemas.BRONZE_CUSTOMERS).parquet(f"{bronze_dir}/customers")
 
 
+def _refuse_other_layout(spark: SparkSession, bronze_dir: str, delivery_id: str | None) -> None:
+    there = if_present(lambda: _stored_transactions(spark, bronze_dir))
+    if there is not None and (DELIVERY_COLUMN in there.columns) != (delivery_id is not None):
+        raise ValueError("this Bronze folder is filled the other way: whole exports, or deliveries with an id")
+
+
 def run_bronze(
     spark: SparkSession,
     source_dir: str,
@@ -84,14 +101,24 @@ def run_bronze(
     ingested_at: datetime | None = None,
     run_id: str | None = None,
     rebalance: bool = True,
+    delivery_id: str | None = None,
 ) -> DataFrame | None:
     """Ingest both entities and return their summaries; an absent file is skipped.
 
-    ``rebalance=False`` saves the shuffle by month where files come laid out by date.
+    Without a ``delivery_id`` the source is taken as a whole export: each month
+    it has rows of (and the rows without a date) replaces what is stored of that
+    month. With one, its rows are stored beside all others, and only running the
+    same delivery again replaces them; Silver's newest-version rule takes care of
+    rows that come more than once. A Bronze folder is filled in one way or the
+    other. ``rebalance=False`` saves the shuffle by month where files come laid
+    out by date.
 
     Source text is parsed once, by the write. The summary then reads two small
     columns of what was stored.
     """
+    require_utc(spark)
+    if delivery_id is not None and not re.fullmatch(r"\w[\w.-]*", delivery_id):
+        raise ValueError("a delivery id holds letters, digits, dots, dashes and underscores only")
     now, now_id = new_run()
     ingested_at, run_id = ingested_at or now, run_id or now_id
     summaries = []
@@ -99,8 +126,18 @@ def run_bronze(
     path = f"{source_dir}/transactions.csv"
     transactions = if_present(lambda: bronze_transactions(spark, path, ingested_at, run_id))
     if transactions is not None:
-        write_partitioned(transactions, f"{bronze_dir}/transactions", PARTITION_COLUMNS, rebalance)
-        written = read_bronze_transactions(spark, bronze_dir).filter(F.col("_run_id") == run_id)
+        _refuse_other_layout(spark, bronze_dir, delivery_id)
+        if delivery_id is None:
+            write_partitioned(transactions, f"{bronze_dir}/transactions", PARTITION_COLUMNS, rebalance)
+            written = _stored_transactions(spark, bronze_dir).filter(F.col("_run_id") == run_id)
+        else:
+            marked = transactions.withColumn(DELIVERY_COLUMN, F.lit(delivery_id))
+            write_partitioned(marked, f"{bronze_dir}/transactions", (*PARTITION_COLUMNS, DELIVERY_COLUMN), rebalance)
+            # the delivery is a partition, so no other file is listed or opened; a delivery that is
+            # run again with fewer months leaves those it no longer has, which its run id tells apart
+            written = _stored_transactions(spark, bronze_dir).filter(
+                (F.col(DELIVERY_COLUMN).cast("string") == delivery_id) & (F.col("_run_id") == run_id)
+            )
         summaries.append(dq_summary(written, "Transactions"))
 
     customer_path = f"{source_dir}/customers.csv"

@@ -11,7 +11,8 @@ from txquality import schemas
 from txquality.functions import dates, money
 from txquality.operators.dedup import newest_per_key
 from txquality.operators.merge import merge
-from txquality.sinks import publish, published
+from txquality.session import require_utc
+from txquality.sinks import publish, published, published_buckets
 
 SILVER_TABLE = "silver_transactions"
 
@@ -85,15 +86,24 @@ def run_silver(
 ) -> DataFrame:
     """Merge a load into the Silver table and return the new snapshot.
 
-    The first run creates the table. Keys absent from the load stay. ``buckets``
-    defaults to the session's shuffle partitions, so the rows of the load,
-    shuffled by key once for their newest version, meet the table's buckets
-    where they are.
+    The first run creates the table. Keys absent from the load stay. The number
+    of buckets is the table's: it is chosen at the first run (``buckets``, or the
+    session's shuffle partitions; take the bytes expected in the table over a few
+    hundred MB) and kept by all later ones. The load is shuffled by key for its
+    newest versions, and its remaining rows once more only where the session's
+    shuffle partitions are not the table's buckets, so the table itself is never
+    shuffled.
     """
+    require_utc(spark)
     load = silver(staged, loaded_at)
     current = published(spark, table, location)
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    session = int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = published_buckets(spark, location)
+    if kept and buckets and buckets != kept:
+        raise ValueError(f"{table} has {kept} buckets; another number takes a rewrite of the table")
+    buckets = kept or buckets or session
+    if buckets != session:
+        load = load.repartition(buckets, schemas.SILVER_KEY)
     rows = load if current is None else merge(current, load, schemas.SILVER_KEY, source_is_unique=True)
-    if buckets is None:
-        initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-        buckets = int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
     return publish(rows, table, location, snapshot_id, schemas.SILVER_KEY, buckets)

@@ -14,6 +14,8 @@ from txquality.plans.bronze import new_run
 from txquality.plans.gold import GOLD_TABLE, run_gold
 from txquality.plans.silver import SILVER_TABLE, run_silver
 from txquality.plans.staging import STAGING_VIEW, staging_view
+from txquality.session import require_utc
+from txquality.sinks import has_snapshot, is_current, published
 from txquality.sources.files import if_present, row_count, union_all
 from txquality.sources.raw_load import load_table, raw_table
 
@@ -70,6 +72,14 @@ def raw_tables(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, DataFrame]
     )
 
 
+def _resumed_silver(
+    spark: SparkSession, silver_dir: str, gold_dir: str, snapshot_id: str, names: Names
+) -> DataFrame | None:
+    if not is_current(spark, silver_dir, snapshot_id) or has_snapshot(spark, gold_dir, snapshot_id):
+        return None
+    return published(spark, names.silver, silver_dir)
+
+
 def run_refinement(
     spark: SparkSession,
     raw_transactions: DataFrame,
@@ -79,11 +89,18 @@ def run_refinement(
     snapshot_id: str | None = None,
     names: Names = Names(),
 ) -> Refined:
-    """Staging view, Silver merge, Gold replacement, then the table tests."""
+    """Staging view, Silver merge, Gold replacement, then the table tests.
+
+    Run again with the snapshot id of a run whose Silver step had succeeded, it
+    goes on with Gold from that snapshot, which must be Silver's current one.
+    """
+    require_utc(spark)
     now, now_id = new_run()
     loaded_at, snapshot_id = loaded_at or now, snapshot_id or now_id
     staged = staging_view(raw_transactions, names.staging)
-    silver = run_silver(spark, staged, f"{warehouse_dir}/silver", loaded_at, snapshot_id, names.silver)
+    silver = _resumed_silver(spark, f"{warehouse_dir}/silver", f"{warehouse_dir}/gold", snapshot_id, names)
+    if silver is None:
+        silver = run_silver(spark, staged, f"{warehouse_dir}/silver", loaded_at, snapshot_id, names.silver)
     gold = run_gold(silver, f"{warehouse_dir}/gold", loaded_at, snapshot_id, names.gold)
     tests = run_table_tests(
         {

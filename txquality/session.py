@@ -3,57 +3,81 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
 
-from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
+ZONE, UTC = "spark.sql.session.timeZone", "UTC"
+UTC_NAMES = (UTC, "Etc/UTC", "Z", "+00:00", "GMT")
+
 # Dates are compared and truncated in UTC. Adaptive execution coalesces small
 # shuffle partitions, splits skewed ones and sizes the files of rebalanced writes.
 SESSION_DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.parquet.compression.codec": "zstd",
-    # recording a call site for each column expression doubles the time to build a plan
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
 def build_session(app_name: str = "txquality", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the library's defaults.
 
-    Whatever the submit command or ``settings`` already names wins over a
-    default; sizes that depend on the cluster (executors, shuffle partitions)
-    are left to it.
+    Whatever the submit command or ``settings`` names wins over a default, but
+    for the zone, which is always UTC; sizes that depend on the cluster
+    (executors, shuffle partitions) are left to it. All defaults are settings
+    that can be made once the session runs, when what was given is known.
     """
-    given = SparkConf()
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in SESSION_DEFAULTS.items():
-        if not given.contains(key):
-            builder = builder.config(key, value)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in SESSION_DEFAULTS.items():
+        if not given.contains(key) and key not in settings:
+            spark.conf.set(key, value)
+    spark.conf.set(ZONE, UTC)
+    return spark
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Dates are parsed, cut and compared in the session's zone, so every job holds it to UTC."""
+    zone = spark.conf.get(ZONE)
+    if zone not in UTC_NAMES:
+        raise ValueError(f"the session's zone is {zone}; this job needs {UTC}")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset (a test on one machine) a temporary folder is
-    made, and removed when the process ends.
+    Only where that is unset and all runs on one machine (a test) a temporary
+    folder is made, and removed when the process ends. On a cluster the folder
+    must be named: other machines don't see this one's temporary folders.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         shared = tempfile.mkdtemp(prefix="txquality-")
         atexit.register(shutil.rmtree, shared, ignore_errors=True)
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+_MADE: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this process has put into scratch space, once no table that is read from it is needed."""
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,17 +37,22 @@ def transactions_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_folder(
-    spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.csv"
+    spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.csv", multi_line: bool = False
 ) -> DataFrame:
     """All CSV files of a folder as one table; FileNotFoundError if there are none.
 
     Cells are read as text so that every missing-value text becomes NULL, then
     cast to ``schema``; text that does not fit becomes NULL. A file whose header
     names other columns, or another order, is an error: files are never bound
-    to the wrong columns.
+    to the wrong columns. A row with more cells than columns is an error; one with
+    fewer is filled with NULL.
+
+    ``multi_line`` allows line breaks in quoted cells. Such files cannot be split
+    among tasks, so it is off unless asked for; a quoted cell that a line break
+    cuts off then is an error.
     """
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    reader = spark.read.option("header", "true").option("escape", '"').option("enforceSchema", "false")
+    as_text = T.StructType([*(T.StructField(f.name, T.StringType()) for f in schema), T.StructField(BAD_LINE, T.StringType())])
+    reader = csv_options(spark.read, multi_line).option("enforceSchema", "false")
     try:
         text = reader.schema(as_text).csv(f"{folder.rstrip('/')}/{pattern}")
     except AnalysisException as error:
@@ -58,7 +63,27 @@ def read_csv_folder(
         typed(null_if_token(f.name, schemas.FRAME_NULL_TOKENS), f.dataType).alias(f.name)
         for f in schema
     )
-    return text.select(*cells)
+    # the first column is named as Spark refuses to read the bad lines alone
+    refused = F.concat(F.lit("a CSV row of other cells than the header has: "), F.substring(BAD_LINE, 1, 200), F.lit(" ("), F.coalesce(F.col(schema[0].name), F.lit("")), F.lit(")"))
+    fits = F.when(~_spoilt(len(schema)), F.lit(True)).otherwise(F.raise_error(refused).cast("boolean"))
+    return text.filter(fits).select(*cells)
+
+
+BAD_LINE = "_bad_line"
+
+
+def csv_options(reader: DataFrameReader, multi_line: bool) -> DataFrameReader:
+    """A header, doubled quotes, and the text of rows that don't fit in a column of its own."""
+    options = {"header": "true", "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE, "columnPruning": "false"}
+    return reader.options(**options, multiLine=multi_line)
+
+
+def _spoilt(columns: int) -> Column:
+    """Too many cells, or a quote that is not closed on its line."""
+    line = F.col(BAD_LINE)
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    cells = F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), ","))
+    return F.coalesce(line.isNotNull() & ((cells > columns) | (quotes % 2 != 0)), F.lit(False))
 
 
 def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:

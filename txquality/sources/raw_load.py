@@ -17,28 +17,24 @@ from pyspark.sql import types as T
 
 from txquality import schemas
 from txquality.functions.text import null_if_token, typed
-from txquality.sources.files import is_absent
+from txquality.sources.files import BAD_LINE, csv_options, is_absent
 
-def parse_load(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.csv") -> DataFrame:
+
+def parse_load(
+    spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.csv", multi_line: bool = False
+) -> DataFrame:
     """Rows of the folder's CSV files, cast to ``schema``, with file and outcome.
 
     A row is rejected if it has too few or too many cells, or if a cell that is
-    not a NULL text does not fit its column's type.
+    not a NULL text does not fit its column's type. ``multi_line`` allows line
+    breaks in quoted cells; such files are not split among tasks.
     """
     as_text = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in schema]
-        + [T.StructField("_bad_line", T.StringType())]
-    )
-    text = (
-        spark.read.option("header", "true")
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_bad_line")
-        .option("columnPruning", "false")
-        .schema(as_text)
-        .csv(f"{folder.rstrip('/')}/{pattern}")
+        + [T.StructField(BAD_LINE, T.StringType())]
     )
-    faults = [F.col("_bad_line").isNotNull()]
+    text = csv_options(spark.read, multi_line).schema(as_text).csv(f"{folder.rstrip('/')}/{pattern}")
+    faults = [F.col(BAD_LINE).isNotNull()]
     cells = []
     for field in schema:
         token = null_if_token(field.name, schemas.LOAD_NULL_TOKENS)
@@ -60,13 +56,15 @@ def load_table(
     table_path: str,
     load_id: str,
     pattern: str = "*.csv",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Append a folder's CSV files to the raw table; returns the load's report.
 
+    The report has every file of the folder; one without rows is LOADED with 0.
     An absent folder or one without files loads nothing and reports no rows.
     """
     try:
-        parsed = parse_load(spark, folder, schema, pattern)
+        parsed = parse_load(spark, folder, schema, pattern, multi_line)
     except AnalysisException as error:
         if not is_absent(error):
             raise
@@ -78,16 +76,24 @@ def load_table(
         .partitionBy("_load_id", "_rejected")
         .parquet(table_path)
     )
-    return load_report(_stored_load(spark, table_path, schema).filter(F.col("_load_id") == load_id))
+    rows = _stored_load(spark, table_path, schema).filter(F.col("_load_id") == load_id)
+    return load_report(rows, file_list(spark, folder, pattern))
+
+
+def file_list(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """The folder's files, as Spark lists them; nothing of their content is read."""
+    return spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{pattern}").select(F.col("_metadata.file_path").alias("file"))
 
 
-def load_report(parsed: DataFrame) -> DataFrame:
-    """Per file: rows parsed, loaded and in error, and the outcome."""
+def load_report(parsed: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Per file: rows parsed, loaded and in error, and the outcome; files without rows if they are listed."""
     counts = parsed.groupBy(F.col("_load_file").alias("file")).agg(
         F.count(F.lit(1)).alias("rows_parsed"),
         F.count_if(~F.col("_rejected")).alias("rows_loaded"),
         F.count_if(F.col("_rejected")).alias("errors_seen"),
     )
+    if files is not None:
+        counts = files.join(counts, "file", "full_outer").fillna(0, ["rows_parsed", "rows_loaded", "errors_seen"])
     return counts.withColumn("status", load_status(F.col("rows_loaded"), F.col("errors_seen")))
 
 
