@@ -42,7 +42,7 @@ from txquality.session import stored
 TREES = 24
 LENGTH = 32
 NEAREST = 10
-SHARE = 0.5
+SHARE = 0.6
 BLOCK_ROWS = 20_000
 LEAST_BLOCKS = 64
 GROUP_QUERIES = 500
