@@ -107,7 +107,40 @@ def registered() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    return dict(SQL)
+    return SQL | {"op6_license_scan": _license_sql()}
+
+
+def _license_sql() -> str:
+    """Every alignment of every template with every text, by a join on words."""
+    heads, words = [], []
+    for number, (label, base, text, phrase) in enumerate(license_scan.TEMPLATES):
+        template, key = text.split(), phrase.split()
+        start = next(i for i in range(len(template)) if template[i : i + len(key)] == key)
+        heads.append(f"({number}, '{label}', {str(base).lower()}, {len(template)}, {start}, {len(key)})")
+        words += [f"({number}, {i}, '{w}')" for i, w in enumerate(template)]
+    upper = "".join(map(chr, range(65, 91)))
+    return f"""
+        with texts as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as ws
+            from documents
+        ), words as (
+            select d.doc_id, t.w, t.i - 1 as i from texts d, unnest(d.ws) with ordinality as t(w, i)
+        ), heads(number, label, base, size, key_start, key_size) as (values {", ".join(heads)}),
+        parts(number, j, w) as (values {", ".join(words)}),
+        aligned as (
+            select w.doc_id, h.label, h.base, w.i - p.j as start, count(*) as held, any_value(h.size) as size,
+                   count(*) filter (where p.j between h.key_start and h.key_start + h.key_size - 1) as key_held, any_value(h.key_size) as key_size
+            from words w join parts p on p.w = w.w join heads h on h.number = p.number
+            group by w.doc_id, h.number, h.label, h.base, w.i - p.j
+        ), found as (
+            select doc_id, label, base, start, held / size as share from aligned
+            where key_held = key_size and held / size >= {license_scan.FOUND_SHARE}
+        )
+        select t.doc_id, len(t.ws) as n_words, count(f.start) filter (where f.base) as n_base,
+               min(f.start) filter (where f.base) as first_word, max(f.start) filter (where f.base) as last_word,
+               coalesce(string_agg(distinct f.label, ',' order by f.label) filter (where f.base), '') as base_labels,
+               coalesce(string_agg(distinct f.label, ',' order by f.label), '') as labels, coalesce(max(f.share), 0.0) as score
+        from texts t left join found f on f.doc_id = t.doc_id group by t.doc_id, t.ws"""
 
 
 SQL: dict[str, str] = {
