@@ -63,6 +63,14 @@ def test_large_regions_are_split_by_pivots_and_blocks(make, monkeypatch):
     check(make(families(3, families=3, copies=60, edits=9)), 3, (8, 10))
 
 
+def test_copies_in_any_order_of_ids(spark):
+    """The smallest id of a class need not come first in its file."""
+    texts = families(11, families=6, copies=10, edits=3) * 3
+    rows = [(len(texts) - i, t) for i, t in enumerate(texts)] + [(None, texts[0])]
+    check(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+
+
 def test_a_shared_passage_links_nothing(make):
     draw = random.Random(6)
     passage = " ".join(f"p{i}" for i in range(20))

@@ -119,7 +119,7 @@ def _read(n: int, least: tuple[int, int], owners: int):
     """Of each piece: its documents' sizes and set keys; and, for each owner, the n-grams to count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "chunk", "doc_id", "index", "size", "k1", "k2", "owner", "grams", "docs"]
+        names = ["kind", "chunk", "doc_id", "index", "size", "k1", "k2", "stands", "owner", "grams", "docs"]
         for number, piece in enumerate(tk.pieces(batches, most=PIECE_BYTES)):
             chunk = (TaskContext.get().partitionId() << 20) + number
             grams, bounds = shingles(*tk.text_bytes(piece.column(1)), n)
@@ -127,13 +127,13 @@ def _read(n: int, least: tuple[int, int], owners: int):
             k1, k2 = set_keys(grams, bounds)
             rows = piece.num_rows
             none = lambda kind, many: pa.nulls(many, kind)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(rows, np.int32)), pa.array(np.full(rows, chunk)), piece.column(0), pa.array(np.arange(rows)), pa.array(size), pa.array(tk.signed(k1)), pa.array(tk.signed(k2)), none(pa.int32(), rows), none(pa.binary(), rows), none(pa.binary(), rows)],
-                names,
-            )
             # one of equal sets stands for the others of its piece
             first = np.zeros(rows, bool)
             first[np.unique(np.stack((k1, k2), 1), axis=0, return_index=True)[1]] = True
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(rows, np.int32)), pa.array(np.full(rows, chunk)), piece.column(0), pa.array(np.arange(rows)), pa.array(size), pa.array(tk.signed(k1)), pa.array(tk.signed(k2)), pa.array(first), none(pa.int32(), rows), none(pa.binary(), rows), none(pa.binary(), rows)],
+                names,
+            )
             counted, _ = prefix_sizes(size, least)
             counted = np.where(first, counted, 0)
             at = tk.ragged(bounds[:-1], counted)
@@ -146,7 +146,7 @@ def _read(n: int, least: tuple[int, int], owners: int):
             many = len(own)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.ones(many, np.int32)), pa.array(np.full(many, chunk)), none(piece.schema.field(0).type, many), none(pa.int64(), many), none(pa.int64(), many), none(pa.int64(), many), none(pa.int64(), many),
+                    pa.array(np.ones(many, np.int32)), pa.array(np.full(many, chunk)), none(piece.schema.field(0).type, many), none(pa.int64(), many), none(pa.int64(), many), none(pa.int64(), many), none(pa.int64(), many), none(pa.bool_(), many),
                     pa.array(own.astype(np.int32)), pa.array([tk.pack_sorted(keys[cut[i] : cut[i + 1]]) for i in own], pa.binary()), pa.array([tk.pack(doc[cut[i] : cut[i + 1]]) for i in own], pa.binary()),
                 ],
                 names,
@@ -416,13 +416,19 @@ def components(docs: DataFrame, n: int, least: tuple[int, int]) -> DataFrame:
     owners = max(LEAST_OWNERS, math.ceil(weight / OWNER_BYTES))
     schema = T.StructType([
         T.StructField("kind", T.IntegerType()), T.StructField("chunk", T.LongType()), T.StructField("doc_id", id_field.dataType), T.StructField("index", T.LongType()), T.StructField("size", T.LongType()),
-        T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("owner", T.IntegerType()), T.StructField("grams", T.BinaryType()), T.StructField("docs", T.BinaryType()),
+        T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("stands", T.BooleanType()), T.StructField("owner", T.IntegerType()), T.StructField("grams", T.BinaryType()), T.StructField("docs", T.BinaryType()),
     ])
     read = stored(rows.mapInArrow(_read(n, least, owners), schema), "shingles")
-    every = read.where("kind = 0").select("doc_id", "chunk", "index", "size", "k1", "k2")
+    every = read.where("kind = 0").select("doc_id", "chunk", "index", "size", "k1", "k2", "stands")
     filled = every.where("size > 0")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "chunk", "index")
-    classes = stored(filled.groupBy("k1", "k2").agg(F.min(place).alias("p"), F.first("size").alias("size")).select("k1", "k2", "size", F.col("p.doc_id").alias("doc_id"), F.col("p.chunk").alias("chunk"), F.col("p.index").alias("index")).withColumn("cid", F.shiftleft("chunk", _INDEX_BITS) + F.col("index")), "classes")
+    # a class goes by the place of a document whose n-grams were counted, and by its smallest id
+    place = F.min(F.when(F.col("stands"), F.struct("chunk", "index")))
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id"))
+    grouped = filled.groupBy("k1", "k2").agg(place.alias("p"), smallest.alias("d"), F.first("size").alias("size"))
+    classes = stored(
+        grouped.select("k1", "k2", "size", "d.doc_id", "p.chunk", "p.index").withColumn("cid", F.shiftleft("chunk", _INDEX_BITS) + F.col("index")),
+        "classes",
+    )
 
     answers = read.where("kind = 1").select("chunk", "owner", "grams", "docs").groupBy("owner").applyInArrow(_count, "chunk long, grams binary, docs binary, times binary")
     looked_up = stored(answers.groupBy("chunk").cogroup(classes.select("chunk", "index", "size").groupBy("chunk")).applyInArrow(_look_up(least), "gram long, cid long"), "rare")
