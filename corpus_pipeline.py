@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from txquality.llm import decontaminate, jaccard_join, line_dedup, pieces, toxicity
 from txquality.llm.queries import vocabulary_path
+from txquality.llm.shipping import importable
 from txquality.session import stored
 
 NEAR_WORDS = 5
@@ -26,13 +27,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model, fitted on the labels, does not reject."""
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = toxicity.fit(docs, importable(spark).read.parquet(f"{sf_dir}/labels.parquet"))
     names = docs.columns
     return toxicity.scored(docs, model, "__severity", "__toxic").where(~toxicity.rejected("__toxic")).select(*names)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later places of repeated three-line windows removed; a document of which nothing is left goes."""
+    importable(spark)
     names = docs.columns
     cut = line_dedup.remove_repeated_passages(docs, "__removed").where((F.col("__removed") == 0) | (F.trim("text") != ""))
     counted = {"n_chars": F.when(F.col("__removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in names else {}
@@ -41,16 +43,18 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that five-word shingles link at a similarity of 0.8."""
+    importable(spark)
     return jaccard_join.one_of_each(docs, NEAR_WORDS, NEAR_LEAST)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark items."""
-    return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.decontaminated(docs, importable(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left."""
+    importable(spark)
     coded = pieces.encoded(docs.select("doc_id", "text"), pieces.load(vocabulary_path()))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
 

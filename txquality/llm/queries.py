@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txquality.llm import decontaminate, interpolated_lm, jaccard_join, kd_shards, language_id, license_scan, line_dedup, pieces, prefix_forest, toxicity
+from txquality.llm.shipping import importable
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -17,7 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
