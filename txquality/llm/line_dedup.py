@@ -19,10 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pac
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txquality.llm import textkit as tk
+
 WINDOW_LINES = 3
 _KEY, _AT = "__text_key", "__windows"
 
@@ -75,7 +78,7 @@ def covered_lines(text: str, starts: list[int]) -> tuple[list[str], np.ndarray]:
 
 
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in tk.pieces(batches):
         at = batch.schema.get_field_index(_AT)
         column = batch.schema.get_field_index("text")
         texts = batch.column(column)
@@ -83,12 +86,12 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         removed = np.zeros(batch.num_rows, np.int64)
         hit = np.flatnonzero(starts.is_valid().to_numpy(zero_copy_only=False))
         if len(hit):
-            out = texts.to_pylist()
+            cut = []
             for i in hit:
-                lines, gone = covered_lines(out[i], starts[i].as_py())
+                lines, gone = covered_lines(texts[i].as_py(), starts[i].as_py())
                 removed[i] = gone.sum()
-                out[i] = "\n".join(line for line, drop in zip(lines, gone) if not drop)
-            texts = pa.array(out, texts.type)
+                cut.append("\n".join(line for line, drop in zip(lines, gone) if not drop))
+            texts = pac.replace_with_mask(texts, starts.is_valid(), pa.array(cut, texts.type))
         arrays = [texts if i == column else batch.column(i) for i in range(batch.num_columns) if i != at]
         names = [name for i, name in enumerate(batch.schema.names) if i != at]
         yield pa.RecordBatch.from_arrays([*arrays, pa.array(removed)], [*names, "__removed"])
