@@ -154,9 +154,9 @@ def _fit(table: pa.Table) -> pa.Table:
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> Model:
     """The model, learned from about ``most`` labelled documents."""
-    grades = stored(grade_of(labels).withColumn("__draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))), "grades")
+    grades = grade_of(labels).withColumn("__draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
     count = max(1, grades.count())
-    drawn = stored(grades.where(F.col("__draw") < int(min(1.0, most / count) * (1 << 40))).select(F.col("doc_id").alias("__id"), "grade"), "drawn")
+    drawn = grades.where(F.col("__draw") < int(min(1.0, most / count) * (1 << 40))).select(F.col("doc_id").alias("__id"), "grade")
     if drawn.count() <= 2 * most:  # the draw's bound; ids are unique, so a hash that favours some cannot pass it unseen
         drawn = F.broadcast(drawn)
     taken = docs.select("doc_id", "text").join(drawn, F.col("doc_id") == F.col("__id")).select("grade", "text")
