@@ -13,6 +13,7 @@ RATE = (
     "when 'AUD' then 0.65 when 'CAD' then 0.74 when 'HKD' then 0.13 else 1 end)::decimal(5, 4)"
 )
 
+# fixed values: the column lists of the layers
 TX = (
     "transaction_id, customer_id, transaction_type, amount, currency, status, counterparty, reference_number, "
     "transaction_date, settlement_date, description, fee_amount, fee_currency, source_system, batch_id, "

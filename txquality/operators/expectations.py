@@ -36,6 +36,7 @@ class Check:
 
     @property
     def name(self) -> str:
+        # fixed values: the labels of checks, which are part of the results
         if self.kind == "row_count_above":
             return f"row_count_above({self.rows})"
         if self.kind == "values_between":

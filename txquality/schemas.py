@@ -102,7 +102,7 @@ FRAME_NULL_TOKENS = (
     "nan", "null",
 )
 
-# --- Silver column order ----------------------------------------------------
+# --- Fixed values: column orders of Silver and keys of Gold ----------------------------------------------------
 SILVER_KEY = "transaction_id"
 SILVER_COLUMNS = (
     "transaction_id", "customer_id", "transaction_type", "amount", "currency",
