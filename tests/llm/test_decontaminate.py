@@ -69,3 +69,16 @@ def test_odd_rows(spark, odd):
     nothing = spark.createDataFrame([], ITEMS)
     assert not any(r.contaminated for r in dc.verdicts(odd, nothing).collect())
     assert dc.verdicts(odd.limit(0), nothing).collect() == []
+
+
+def test_a_verbatim_stretch_counts_beside_a_conflict(spark, make):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(30)]
+    words[5] = words[25] = "9"
+    torn = [*words[:25], "7", *words[26:]]
+    other = [*words[:5], "8", *words[6:25], "7", *words[26:]]
+    near = [*words[:5], "8", *words[6:12], "and", *words[12:]]
+    changed = [*words[:5], "8", *words[6:25], "8", *words[26:]]
+    rows = found(spark, make([" ".join(t) for t in (torn, other, [*words[:12], "and", *words[24:]], near, changed)]), [(1, " ".join(words))])
+    assert [rows[i].contaminated for i in range(5)] == [True, True, False, True, True]
+    assert [rows[i].run_words for i in range(5)] == [25, 19, 0, 18, 30]
+    assert [rows[i].values_changed for i in range(5)] == [False, False, False, False, True]

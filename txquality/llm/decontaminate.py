@@ -2,10 +2,13 @@
 
 Numbers, names and units become typed placeholders, so a question whose values
 were changed has the same template. Every window of template words of the
-benchmark is hash-joined with the documents' windows. Matches on one diagonal
-(document position minus item position) are merged into runs; a run counts if
-its slots are consistent: each value of the item stands for one value in the
-document throughout, and the other way round.
+benchmark is hash-joined with the documents' windows, and so is every window of
+plain words that holds a slot (without slots the two are one). Matches on one
+diagonal (document position minus item position) are merged into runs, those by
+template, those by plain words, and all together; a run counts if its slots are
+consistent: each value of the item stands for one value in the document
+throughout, and the other way round. A run of plain words is a verbatim copy and
+always consistent, whatever stands beside it.
 
 A document is contaminated when a consistent run covers RUN_WORDS words of an
 item, or all of it where the item is shorter.
@@ -48,6 +51,8 @@ UNITS = (
     "watt watts volt volts joule joules newton newtons mph kmh hz khz mhz ghz kb mb gb tb"
 ).split()
 NUMBER, NAME, UNIT = 1, 2, 3
+# which matches make up a run: by template, by plain words, all
+BY_TEMPLATE, VERBATIM, BY_EITHER = 0, 1, 2
 _PLACEHOLDER = np.array([0, 0x6E756D626572, 0x6E616D65, 0x756E6974], np.uint64)
 _UNIT_HASHES = np.sort(np.array([tk.hash_word(u.encode()) for u in UNITS], np.uint64))
 _JOINT = np.zeros(256, bool)
@@ -93,15 +98,19 @@ def template(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return words, kind, np.where(kind > 0, _PLACEHOLDER[kind], words), rows
 
 
-def windows(words: np.ndarray, kind: np.ndarray, form: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template windows with enough literals: hash, row, and first word (an index over all rows)."""
-    hashes, row, at = tk.ngrams_by_row(form, rows, width)
+def windows(words: np.ndarray, kind: np.ndarray, form: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of plain words, and those of template words that hold a slot: hash, row, first word (an index over all rows), and whether by template."""
     literals = np.concatenate(([0], np.cumsum(kind == 0)))
-    enough = literals[at + width] - literals[at] >= min(LITERAL_WORDS, width)
-    return hashes[enough], row[enough], at[enough]
+    hashes, row, at = tk.ngrams_by_row(words, rows, width)
+    templates = tk.ngrams_by_row(form, rows, width)[0]
+    held = literals[at + width] - literals[at]
+    enough = held >= min(LITERAL_WORDS, width)
+    plain, typed = np.flatnonzero(enough), np.flatnonzero(enough & (held < width))
+    both = np.concatenate((plain, typed))
+    return np.concatenate((hashes[plain], templates[typed])), row[both], at[both], np.arange(len(both)) >= len(plain)
 
 
-def _window_table(ids: pa.Array, row: np.ndarray, at: np.ndarray, hashes: np.ndarray, words: np.ndarray, kind: np.ndarray, rows: np.ndarray, width: int, names: list[str], lengths: bool) -> pa.RecordBatch:
+def _window_table(ids: pa.Array, row: np.ndarray, at: np.ndarray, hashes: np.ndarray, typed: np.ndarray, words: np.ndarray, kind: np.ndarray, rows: np.ndarray, width: int, names: list[str], lengths: bool) -> pa.RecordBatch:
     """One row for each window; its slot values in order, each of a hash that tells types apart."""
     value = tk.signed(tk.mix(words + kind.astype(np.uint64)))
     slots, counts = np.zeros(0, np.int64), np.zeros(len(at), np.int64)
@@ -110,27 +119,27 @@ def _window_table(ids: pa.Array, row: np.ndarray, at: np.ndarray, hashes: np.nda
         marked = kind[spread] > 0
         slots, counts = value[spread[marked]], marked.sum(1)
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(slots))
-    columns = [ids.take(pa.array(row)), pa.array(at - rows[row]), pa.array(tk.signed(hashes)), lists]
+    columns = [ids.take(pa.array(row)), pa.array(at - rows[row]), pa.array(tk.signed(hashes)), pa.array(typed), lists]
     if lengths:
         columns += [pa.array(np.diff(rows)[row]), pa.array(np.full(len(row), width))]
     return pa.RecordBatch.from_arrays(columns, names)
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["item_id", "item_pos", "hash", "item_slots", "item_words", "width"]
+    names = ["item_id", "item_pos", "hash", "typed", "item_slots", "item_words", "width"]
     for piece in tk.pieces(batches):
         ids, texts = piece.column(0), piece.column(1)
         words, kind, form, rows = template(*tk.text_bytes(texts))
         size = np.diff(rows)
         for width in range(LEAST_WORDS, WINDOW_WORDS + 1):
             wanted = size >= width if width == WINDOW_WORDS else size == width
-            hashes, row, at = windows(words, kind, form, rows, width)
+            hashes, row, at, typed = windows(words, kind, form, rows, width)
             keep = wanted[row] if len(row) else np.zeros(0, bool)
-            yield _window_table(ids, row[keep], at[keep], hashes[keep], words, kind, rows, width, names, True)
+            yield _window_table(ids, row[keep], at[keep], hashes[keep], typed[keep], words, kind, rows, width, names, True)
 
 
 def _doc_windows(sift: object | None, widths: list[int]):
-    names = ["doc_id", "doc_pos", "hash", "doc_slots"]
+    names = ["doc_id", "doc_pos", "hash", "typed", "doc_slots"]
     mask = np.uint64((1 << SIFT_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,13 +152,13 @@ def _doc_windows(sift: object | None, widths: list[int]):
             ids, texts = piece.column(0), piece.column(1)
             words, kind, form, rows = template(*tk.text_bytes(texts))
             for width in widths:
-                hashes, row, at = windows(words, kind, form, rows, width)
+                hashes, row, at, typed = windows(words, kind, form, rows, width)
                 if coarse is not None:
                     keep = np.flatnonzero(coarse[(hashes & mask).astype(np.int64)])
                     place = np.minimum(np.searchsorted(wanted, hashes[keep]), len(wanted) - 1)
                     keep = keep[wanted[place] == hashes[keep]]
-                    hashes, row, at = hashes[keep], row[keep], at[keep]
-                yield _window_table(ids, row, at, hashes, words, kind, rows, width, names, False)
+                    hashes, row, at, typed = hashes[keep], row[keep], at[keep], typed[keep]
+                yield _window_table(ids, row, at, hashes, typed, words, kind, rows, width, names, False)
 
     return run
 
@@ -162,7 +171,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, words, same_values): consistent runs of each item in each document, the longest run."""
     spark = docs.sparkSession
     items = stored(
-        benchmark.select("item_id", "text").mapInArrow(_item_windows, f"item_id {_field(benchmark, 'item_id')}, item_pos long, hash long, item_slots array<long>, item_words long, width long"),
+        benchmark.select("item_id", "text").mapInArrow(_item_windows, f"item_id {_field(benchmark, 'item_id')}, item_pos long, hash long, typed boolean, item_slots array<long>, item_words long, width long"),
         "benchmark-windows",
     )
     widths = sorted(r[0] for r in items.select("width").distinct().collect())
@@ -172,19 +181,25 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         sift = spark.sparkContext.broadcast(np.sort(tk.unsigned(found)))
     # a benchmark without windows matches nothing, and needs no look at the documents
     source = docs.select("doc_id", "text") if widths else docs.select("doc_id", "text").limit(0)
-    places = source.mapInArrow(_doc_windows(sift if widths else None, widths), f"doc_id {_field(docs, 'doc_id')}, doc_pos long, hash long, doc_slots array<long>")
+    places = source.mapInArrow(_doc_windows(sift if widths else None, widths), f"doc_id {_field(docs, 'doc_id')}, doc_pos long, hash long, typed boolean, doc_slots array<long>")
     diagonal = ["doc_key", "item_id", "diagonal", "width"]
+    # plain words that are equal keep their values, whatever the document's own case makes of them
+    kept = F.transform("item_slots", lambda s: F.struct(s.alias("item_slots"), s.alias("doc_slots")))
+    bare = (F.size("item_slots") == 0) & (F.size("doc_slots") == 0)
+    kinds = F.when(F.col("typed"), F.array(F.lit(BY_TEMPLATE), F.lit(BY_EITHER))).when(bare, F.array(F.lit(BY_TEMPLATE), F.lit(VERBATIM), F.lit(BY_EITHER))).otherwise(F.array(F.lit(VERBATIM), F.lit(BY_EITHER)))
     hits = (
-        places.join(items, "hash")
-        .where(F.size("item_slots") == F.size("doc_slots"))
-        .select("doc_id", F.xxhash64("doc_id", F.col("doc_id").isNull()).alias("doc_key"), "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("diagonal"), "width", "item_pos", "item_words", F.arrays_zip("item_slots", "doc_slots").alias("slots"))
+        places.join(items, ["hash", "typed"])
+        .where(~F.col("typed") | (F.size("item_slots") == F.size("doc_slots")))
+        .select("doc_id", F.xxhash64("doc_id", F.col("doc_id").isNull()).alias("doc_key"), "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("diagonal"), "width", "item_pos", "item_words", F.when(F.col("typed"), F.arrays_zip("item_slots", "doc_slots")).otherwise(kept).alias("slots"), kinds.alias("kinds"))
         .distinct()
+        .withColumn("kind", F.explode("kinds"))
+        .drop("kinds")
     )
-    along = Window.partitionBy(*diagonal, "doc_id").orderBy("item_pos")
+    along = Window.partitionBy(*diagonal, "kind", "doc_id").orderBy("item_pos")
     step = F.col("item_pos") - F.lag("item_pos").over(along)
     runs = hits.withColumn("step", step).withColumn("run", F.sum(F.when(F.col("step").isNull() | (F.col("step") > F.col("width")), 1).otherwise(0)).over(along))
     pairs = F.array_distinct(F.flatten(F.collect_set("slots")))
-    merged = runs.groupBy(*diagonal, "doc_id", "run").agg(
+    merged = runs.groupBy(*diagonal, "kind", "doc_id", "run").agg(
         F.sum(F.when((F.col("step").isNull()) | (F.col("step") > F.col("width")), F.col("width")).otherwise(F.col("step"))).alias("words"),
         F.max("item_words").alias("item_words"),
         pairs.alias("pairs"),
@@ -193,10 +208,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         (F.size(F.array_distinct(F.col("pairs.item_slots"))) == F.size("pairs")) & (F.size(F.array_distinct(F.col("pairs.doc_slots"))) == F.size("pairs"))
     )
     same = F.coalesce(F.forall("pairs", lambda p: p["item_slots"] == p["doc_slots"]), F.lit(True))
+    # a verbatim stretch of a longer run that counts has that run's values
+    longer = F.max(F.when(F.col("kind") != VERBATIM, same))
     return (
         merged.where((F.col("words") >= F.least(F.lit(RUN_WORDS), F.col("item_words"))) & one_to_one)
+        .groupBy(*diagonal, "doc_id")
+        .agg(F.max("words").alias("words"), F.coalesce(longer, F.lit(True)).alias("same_values"))
         .groupBy("doc_id", "item_id")
-        .agg(F.max("words").alias("words"), F.max(same).alias("same_values"))
+        .agg(F.max("words").alias("words"), F.max("same_values").alias("same_values"))
     )
 
 
