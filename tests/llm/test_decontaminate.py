@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from txquality.llm import decontaminate as dc
 
 ITEMS = "item_id long, text string"
@@ -82,3 +84,23 @@ def test_a_verbatim_stretch_counts_beside_a_conflict(spark, make):
     assert [rows[i].contaminated for i in range(5)] == [True, True, False, True, True]
     assert [rows[i].run_words for i in range(5)] == [25, 19, 0, 18, 30]
     assert [rows[i].values_changed for i in range(5)] == [False, False, False, False, True]
+
+
+def test_verbatim_copies_match_whatever_their_case(spark, make):
+    accented = "nous aimons été comme éclair et œuvre dès que réélu à côté"
+    plain = "the old mill by the river has not ground any corn since the last war ended there"
+    named = "once the miller of Upper Dale and Anna Bell of Lower Dale went to Green Field Market together"
+    items = [(1, accented), (2, plain), (3, named)]
+    texts = [accented.upper(), "Und " + accented.upper(), plain.title(), plain.upper(), named.lower(), named.upper(), named.title(), plain.title().replace("Corn", "Rye")]
+    rows = found(spark, make(texts), items)
+    assert [list(rows[i]["items"]) for i in range(8)] == [[1], [1], [2], [2], [3], [3], [3], []]
+    assert not any(rows[i].values_changed for i in range(8))
+
+
+def test_an_accented_capital_second_makes_no_name():
+    text = "Le mot ÉÉTAIT RÉÉLU et Éric ou Rémy ou ŒUVRE sŒur À"
+    raw = np.frombuffer(text.encode(), np.uint8)
+    words, kind, _, _ = dc.template(raw, np.array([0, len(raw)]))
+    assert [w for w, k in zip(text.split(), kind) if k == dc.NAME] == ["Éric", "Rémy"]
+    low = np.frombuffer(text.lower().encode(), np.uint8)
+    assert (dc.template(low, np.array([0, len(low)]))[0] == words).all()

@@ -13,11 +13,11 @@ always consistent, whatever stands beside it.
 A document is contaminated when a consistent run covers RUN_WORDS words of an
 item, or all of it where the item is shorter.
 
-Words are runs of letters and digits, lower-cased (A-Z and Latin-1); a number may have dots
-and commas inside. A name is a capitalised word, not all capitals, that follows
+Words are runs of letters and digits, lower-cased (A-Z and letters of two bytes in
+UTF-8, up to U+07FF); a number may have dots and commas inside. A name is a capitalised word, not all capitals, that follows
 another word of its sentence. A unit is a listed unit that follows a number.
 Windows with fewer than LITERAL_WORDS words outside slots say nothing and are
-not used; items with fewer than LEAST_WORDS words are not looked for.
+not used, but for the document's plain words, whose case is its own; items with fewer than LEAST_WORDS words are not looked for.
 
 Defined cases: NULL and empty texts are clean; items that repeat match
 alike; rows that share a document id share its verdict; a NULL id is an id;
@@ -62,6 +62,8 @@ _STOP[[ord(c) for c in ".!?:\n"]] = True
 _SMALL = np.zeros(256, bool)
 _SMALL[ord("a") : ord("z") + 1] = True
 _SMALL[128:] = True
+# characters of two bytes without case, where that leaves them two bytes
+_FOLDED = np.array([ord(f) if len(f := chr(c).casefold()) == 1 and 0x80 <= ord(f) < 0x800 else c for c in range(0x800)], np.uint16)
 
 
 def template(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -73,10 +75,14 @@ def template(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     flags = member.astype(np.uint8)
     starts, ends, rows = tk.spans(flags, bounds, np.arange(256) == 1)
     lowered = tk.LOWER[data]
+    small = _SMALL[data]
     if len(data) > 1:
-        # capitals of the Latin-1 range: C3 80 to C3 9E, but for the multiplication sign
-        accented = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
-        lowered[accented] += 0x20
+        wide = np.flatnonzero((data[:-1] >= 0xC2) & (data[:-1] <= 0xDF))
+        code = (data[wide].astype(np.uint16) & 0x1F) << 6 | data[wide + 1] & 0x3F
+        held = _FOLDED[code] != code
+        wide, code = wide[held], _FOLDED[code[held]]
+        lowered[wide], lowered[wide + 1] = 0xC0 | code >> 6, 0x80 | code & 0x3F
+        small[wide] = False
     words = tk.hash_spans(lowered, starts, ends)
     kind = np.zeros(len(words), np.uint8)
     if len(words):
@@ -89,7 +95,7 @@ def template(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
         opens[1:] |= stops[starts[1:]] > stops[ends[:-1]]
         wide_upper = (data[starts] == 0xC3) & (data[np.minimum(starts + 1, len(data) - 1)] < 0x9F)
         second = np.where(wide_upper, starts + 2, starts + 1)
-        capital = (tk.UPPER[data[starts]] | wide_upper) & (second < ends) & _SMALL[data[np.minimum(second, len(data) - 1)]]
+        capital = (tk.UPPER[data[starts]] | wide_upper) & (second < ends) & small[np.minimum(second, len(data) - 1)]
         kind[capital & ~opens] = NAME
         after_number = np.zeros(len(words), bool)
         after_number[1:] = (kind[:-1] == NUMBER) & ~first[1:]
@@ -98,14 +104,14 @@ def template(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return words, kind, np.where(kind > 0, _PLACEHOLDER[kind], words), rows
 
 
-def windows(words: np.ndarray, kind: np.ndarray, form: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def windows(words: np.ndarray, kind: np.ndarray, form: np.ndarray, rows: np.ndarray, width: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Windows of plain words, and those of template words that hold a slot: hash, row, first word (an index over all rows), and whether by template."""
     literals = np.concatenate(([0], np.cumsum(kind == 0)))
     hashes, row, at = tk.ngrams_by_row(words, rows, width)
     templates = tk.ngrams_by_row(form, rows, width)[0]
     held = literals[at + width] - literals[at]
-    enough = held >= min(LITERAL_WORDS, width)
-    plain, typed = np.flatnonzero(enough), np.flatnonzero(enough & (held < width))
+    plain = np.flatnonzero(held >= min(least, width))
+    typed = np.flatnonzero((held >= min(LITERAL_WORDS, width)) & (held < width))
     both = np.concatenate((plain, typed))
     return np.concatenate((hashes[plain], templates[typed])), row[both], at[both], np.arange(len(both)) >= len(plain)
 
@@ -133,7 +139,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         size = np.diff(rows)
         for width in range(LEAST_WORDS, WINDOW_WORDS + 1):
             wanted = size >= width if width == WINDOW_WORDS else size == width
-            hashes, row, at, typed = windows(words, kind, form, rows, width)
+            hashes, row, at, typed = windows(words, kind, form, rows, width, LITERAL_WORDS)
             keep = wanted[row] if len(row) else np.zeros(0, bool)
             yield _window_table(ids, row[keep], at[keep], hashes[keep], typed[keep], words, kind, rows, width, names, True)
 
@@ -152,7 +158,7 @@ def _doc_windows(sift: object | None, widths: list[int]):
             ids, texts = piece.column(0), piece.column(1)
             words, kind, form, rows = template(*tk.text_bytes(texts))
             for width in widths:
-                hashes, row, at, typed = windows(words, kind, form, rows, width)
+                hashes, row, at, typed = windows(words, kind, form, rows, width, 0)
                 if coarse is not None:
                     keep = np.flatnonzero(coarse[(hashes & mask).astype(np.int64)])
                     place = np.minimum(np.searchsorted(wanted, hashes[keep]), len(wanted) - 1)
