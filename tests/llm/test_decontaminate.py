@@ -104,3 +104,27 @@ def test_an_accented_capital_second_makes_no_name():
     assert [w for w, k in zip(text.split(), kind) if k == dc.NAME] == ["Éric", "Rémy"]
     low = np.frombuffer(text.lower().encode(), np.uint8)
     assert (dc.template(low, np.array([0, len(low)]))[0] == words).all()
+
+
+def test_exact_copies_of_items_full_of_slots_are_found(spark, make):
+    short = "What is 12 plus 34?"
+    edge = "please weigh the pears at 5 kg 7 g 3 mg"
+    dense = "mix the two powders well then add 10 g 20 g 30 g 40 g 50 g and stir it"
+    numbers = "1 2 3 4 5 6 7 8 9 10 11 12 13 14"
+    items = [(1, short), (2, edge), (3, dense), (4, numbers)]
+    texts = [
+        f"So: {short} Easy.", edge, f"Please {dense}", numbers,
+        short.replace("34", "35"), edge.replace("pears", "plums"), numbers.replace("7", "70"), edge.replace("5 kg", "6 kg"),
+        dense.replace("50 g", "60 g"),
+    ]
+    rows = found(spark, make(texts), items)
+    assert [list(rows[i]["items"]) for i in range(9)] == [[1], [2], [3], [4], [], [], [], [], [3]]
+    assert rows[2].run_words == len(dense.split()) and not any(rows[i].values_changed for i in range(8))
+
+
+def test_template_and_plain_words_make_one_run(spark, make):
+    item = "a farmer sold 30 apples and then gave away half of them at 7 m 5 cm 7 mm"
+    changed = item.replace("30", "40")
+    rows = found(spark, make([changed, changed.replace("mm", "km")]), [(1, item)])
+    assert [rows[i].run_words for i in range(2)] == [len(item.split()), len(item.split()) - 1]
+    assert all(rows[i].values_changed for i in range(2))

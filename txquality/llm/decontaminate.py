@@ -16,8 +16,8 @@ item, or all of it where the item is shorter.
 Words are runs of letters and digits, lower-cased (A-Z and letters of two bytes in
 UTF-8, up to U+07FF); a number may have dots and commas inside. A name is a capitalised word, not all capitals, that follows
 another word of its sentence. A unit is a listed unit that follows a number.
-Windows with fewer than LITERAL_WORDS words outside slots say nothing and are
-not used, but for the document's plain words, whose case is its own; items with fewer than LEAST_WORDS words are not looked for.
+Template windows with fewer than LITERAL_WORDS words outside slots say nothing and
+are not used; plain words match however few of them stand outside slots. Items with fewer than LEAST_WORDS words are not looked for.
 
 Defined cases: NULL and empty texts are clean; items that repeat match
 alike; rows that share a document id share its verdict; a NULL id is an id;
@@ -104,13 +104,13 @@ def template(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return words, kind, np.where(kind > 0, _PLACEHOLDER[kind], words), rows
 
 
-def windows(words: np.ndarray, kind: np.ndarray, form: np.ndarray, rows: np.ndarray, width: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of plain words, and those of template words that hold a slot: hash, row, first word (an index over all rows), and whether by template."""
+def windows(words: np.ndarray, kind: np.ndarray, form: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of plain words, and those of template words that hold a slot and enough literals: hash, row, first word (an index over all rows), and whether by template."""
     literals = np.concatenate(([0], np.cumsum(kind == 0)))
     hashes, row, at = tk.ngrams_by_row(words, rows, width)
     templates = tk.ngrams_by_row(form, rows, width)[0]
     held = literals[at + width] - literals[at]
-    plain = np.flatnonzero(held >= min(least, width))
+    plain = np.arange(len(hashes))
     typed = np.flatnonzero((held >= min(LITERAL_WORDS, width)) & (held < width))
     both = np.concatenate((plain, typed))
     return np.concatenate((hashes[plain], templates[typed])), row[both], at[both], np.arange(len(both)) >= len(plain)
@@ -139,7 +139,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         size = np.diff(rows)
         for width in range(LEAST_WORDS, WINDOW_WORDS + 1):
             wanted = size >= width if width == WINDOW_WORDS else size == width
-            hashes, row, at, typed = windows(words, kind, form, rows, width, LITERAL_WORDS)
+            hashes, row, at, typed = windows(words, kind, form, rows, width)
             keep = wanted[row] if len(row) else np.zeros(0, bool)
             yield _window_table(ids, row[keep], at[keep], hashes[keep], typed[keep], words, kind, rows, width, names, True)
 
@@ -158,7 +158,7 @@ def _doc_windows(sift: object | None, widths: list[int]):
             ids, texts = piece.column(0), piece.column(1)
             words, kind, form, rows = template(*tk.text_bytes(texts))
             for width in widths:
-                hashes, row, at, typed = windows(words, kind, form, rows, width, 0)
+                hashes, row, at, typed = windows(words, kind, form, rows, width)
                 if coarse is not None:
                     keep = np.flatnonzero(coarse[(hashes & mask).astype(np.int64)])
                     place = np.minimum(np.searchsorted(wanted, hashes[keep]), len(wanted) - 1)
