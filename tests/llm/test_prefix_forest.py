@@ -54,6 +54,15 @@ def test_many_copies_and_ties(spark):
     assert [r.vec_id for r in sorted(rows, key=lambda r: r.rank)] == list(range(10)) and {r.score for r in rows} == {0.0}
 
 
+def test_repeated_ids_take_one_place_in_their_block(spark, monkeypatch):
+    monkeypatch.setattr(pf, "LEAST_BLOCKS", 1)
+    same, moving = [(7, [1.0, 1.5])] * 15, [(8, [1.0, 1.5 + k / 100]) for k in range(1, 16)]
+    others = [(i, [float(i), 1.0]) for i in range(10, 40)]
+    df = table(spark, [(0, [1.0, 1.0]), *same, *moving, *others])
+    rows = sorted((r.rank, r.vec_id, round(r.score, 6)) for r in pf.search(df, df.where("vec_id = 0"), "vec_id", "embedding", share=1.0).collect())
+    assert rows == [(1, 7, 0.5), (2, 8, 0.51), *[(k + 3, k + 10, k + 9.0) for k in range(8)]]
+
+
 def test_empty_tables(spark):
     df = table(spark, [(0, [1.0, 0.0])])
     assert pf.search(df.limit(0), df.limit(0), "vec_id", "embedding").collect() == []

@@ -14,8 +14,9 @@ each block keeps the forest's sorted arrays of its own vectors; a prefix's
 vectors are those of all blocks, so counts add up. A first pass counts, for
 each query and level, what the trees of every block would take in; the sums
 decide each query's level. A second pass compares, and keeps the best of each
-block; the best of those are the answer. A vector that a third of all rows
-repeats is thus spread over all blocks. Queries go to every block in groups.
+block, one row of each id; the best of those are the answer. A vector that a third
+of all rows repeats is thus spread over all blocks; rows that repeat an id with its
+vector are made one before. Queries go to every block in groups.
 
 Vectors of random directions, as uniform as they come, have near neighbours
 that are hardly nearer than the rest; SHARE is what recall 0.9 takes on those.
@@ -128,7 +129,8 @@ def _compare(width: int, centre: np.ndarray, nearest: int):
             for i in range(len(owner)):
                 some = np.flatnonzero((shared[i] >= level[i]) & (ids != owner[i]))
                 far = np.sqrt(((points[some] - wanted[i]) ** 2).sum(1))
-                best = np.lexsort((ids[some], far))[:nearest]
+                best = np.lexsort((ids[some], far))
+                best = best[np.sort(np.unique(ids[some[best]], return_index=True)[1])[:nearest]]
                 columns["query_id"].append(np.full(len(best), owner[i]))
                 columns["vec_id"].append(ids[some[best]])
                 columns["score"].append(far[best])
@@ -145,14 +147,16 @@ def search(vectors: DataFrame, queries: DataFrame, id_column: str, vector: str,
     common = rows.groupBy(F.size("v").alias("width")).count().orderBy(F.desc("count"), "width").first()
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    width, count = common["width"], common["count"]
+    width = common["width"]
     same = F.size("v") == width
     means = rows.where(same).select(*[F.col("v")[i].alias(f"c{i}") for i in range(width)]).agg(*[F.avg(f"c{i}") for i in range(width)]).first()
     centre = np.array(means, float)
+    single = stored(rows.where(same).dropDuplicates(["vec_id", "v"]), "single-vectors")
+    count = single.count()
     blocks = max(LEAST_BLOCKS, math.ceil(count / BLOCK_ROWS))
     asked = stored(asked.where(same).dropDuplicates(["query_id"]), "queries")
     groups = max(1, math.ceil(asked.count() / GROUP_QUERIES))
-    dealt = rows.where(same).withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)))
+    dealt = single.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)))
     spread = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))) if groups > 1 else dealt.withColumn("part", F.lit(0))
     grouped = asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
     everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")
