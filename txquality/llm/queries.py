@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txquality.llm import decontaminate, interpolated_lm, jaccard_join, kd_shards, language_id, license_scan, line_dedup, pieces, prefix_forest, toxicity
+from txquality.llm import decontaminate, interpolated_lm, jaccard_join, kd_shards, language_id, license_scan, line_dedup, pieces, prefix_forest, source_mix, spelling_variants, token_alignment, toxicity
 from txquality.llm.shipping import importable
 
 TOKENIZER = "piece_bpe_32k.model"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +73,15 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def byte_vocabulary_path() -> str:
+    """The byte-level vocabulary of the public tokenizers; $LLM_BYTE_VOCABULARY names another."""
+    if given := os.environ.get("LLM_BYTE_VOCABULARY"):
+        return given
+    import public_tokenizers
+
+    return public_tokenizers.path(BYTE_TOKENIZER)
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of every text, and whether decoding them gives the text again."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,6 +106,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document's tokens under two public vocabularies."""
+    return token_alignment.alignment(_table(spark, sf_dir, "documents"), token_alignment.load(byte_vocabulary_path(), vocabulary_path()))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its near words, form and root."""
+    found = spelling_variants.variants(_table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of one and a half times all words takes of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = source_mix.mix(source_mix.with_quality(docs, _table(spark, sf_dir, "labels")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "epochs")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     import corpus_pipeline
@@ -104,7 +132,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_interpolated_lm, op2_line_dedup, op3_language_id, op4_kd_shards, op5_prefix_forest, op6_license_scan, op7_sentencepiece, op8_toxicity, op9_jaccard_join, op10_decontaminate, pipeline)}
+    return {f.__name__: f for f in (op1_interpolated_lm, op2_line_dedup, op3_language_id, op4_kd_shards, op5_prefix_forest, op6_license_scan, op7_sentencepiece, op8_toxicity, op9_jaccard_join, op10_decontaminate, op11_token_alignment, op12_spelling_variants, op13_source_mix, pipeline)}
 
 
 def oracle() -> dict[str, str]:
@@ -144,7 +172,36 @@ def _license_sql() -> str:
         from texts t left join found f on f.doc_id = t.doc_id group by t.doc_id, t.ws"""
 
 
+# the closed form of the shared targets: with sources by cap over weight, the first that its rate does not fill ends the search
+MIX_SQL = """
+        with quality as (
+            select doc_id, avg(quality) as quality from labels where doc_id is not null group by doc_id
+        ), drawn as (
+            select d.doc_id, d.source, d.text, len(regexp_extract_all(coalesce(d.text, ''), '[^\\x20\\x09-\\x0D]+')) as size,
+                   -ln((('0x' || substr(md5(coalesce(cast(d.doc_id as varchar), '') || ':' || coalesce(d.text, '')), 1, 13))::bigint + 0.5::double) / 4503599627370496.0::double)
+                   / coalesce(pow(4.0::double, q.quality - 0.5), 1.0::double) as draw
+            from documents d left join quality q on q.doc_id = d.doc_id
+        ), sizes as (
+            select source, sum(size)::bigint as source_size from drawn group by source
+        ), weighed as (
+            select *, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 3 when 1 then 1 else 2 end::double as w, 2.0::double * source_size as cap from sizes
+        ), rated as (
+            select *, (1.5::double * sum(source_size) over () - coalesce(sum(cap) over (order by cap / w, source rows between unbounded preceding and 1 preceding), 0))
+                   / sum(w) over (order by cap / w, source rows between current row and unbounded following) as rate
+            from weighed
+        ), targets as (
+            select source, source_size, least(cap, w * (select max(r.rate) from rated r where r.rate * r.w <= r.cap)) as target from rated
+        ), budgets as (
+            select *, case when source_size > 0 then floor(target + 0.5)::bigint // source_size else 0 end as epochs from targets
+        ), ordered as (
+            select d.*, b.source_size, b.target, b.epochs, floor(b.target + 0.5)::bigint - b.epochs * b.source_size as rest,
+                   coalesce(sum(d.size) over (partition by d.source order by d.draw, d.doc_id, d.size rows between unbounded preceding and 1 preceding), 0) as before
+            from drawn d join budgets b on b.source is not distinct from d.source
+        )
+        select doc_id, size::bigint as size, source_size, target, (epochs * size + greatest(0, least(size, rest - before)))::bigint as taken, source, epochs::bigint as epochs from ordered"""
+
 SQL: dict[str, str] = {
+    "op13_source_mix": MIX_SQL,
     "op2_line_dedup": """
         with lines as (
             select d.doc_id, d.text, t.i, t.line
