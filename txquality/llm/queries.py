@@ -120,7 +120,7 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of one and a half times all words takes of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    mixed = source_mix.mix(source_mix.with_quality(docs, _table(spark, sf_dir, "labels")))
+    mixed = source_mix.mix_drawn(source_mix.with_quality(source_mix.drawn(docs), _table(spark, sf_dir, "labels")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "epochs")
 
 

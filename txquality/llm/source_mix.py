@@ -51,12 +51,21 @@ def quality_weight(quality: Column) -> Column:
     return F.coalesce(F.pow(F.lit(4.0), quality - 0.5), F.lit(1.0))
 
 
-def exponential_key(weight: Column, doc_id: str = "doc_id", text: str = "text") -> Column:
-    """``-ln(u) / weight``, where u in (0, 1) comes from id and text: the same in every run."""
+def exponential(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """``-ln(u)``, where u in (0, 1) comes from id and text: the same in every run."""
     known = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit("")))
     digits = F.substring(F.md5(known.cast("binary")), 1, DRAW_BITS // 4)
     u = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << DRAW_BITS)
-    return -F.log(u) / weight
+    return -F.log(u)
+
+
+def drawn(docs: DataFrame) -> DataFrame:
+    """What the mix needs of each document: id, source, size in words, draw, and its quality if it has that column.
+
+    Texts go no further, so whatever is joined or shuffled later is narrow.
+    """
+    quality = ["quality"] if "quality" in docs.columns else []
+    return docs.select("doc_id", "source", word_count().alias("size"), exponential().alias("draw"), *quality)
 
 
 def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -122,15 +131,20 @@ def _ends(rows: DataFrame, sources: DataFrame, few: bool) -> tuple[DataFrame, in
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """What the mix takes of each row of ``docs`` (doc_id, text, source, quality).
+    """What the mix takes of each row of ``docs`` (doc_id, text, source, quality)."""
+    return mix_drawn(drawn(docs), weights, share, most)
+
+
+def mix_drawn(draws: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """What the mix takes of each row of ``draws`` (see ``drawn``), which have a quality.
 
     Returns doc_id, source, size, source_size, target, epochs (complete ones),
     ``part`` (words of the last, incomplete one) and ``taken`` in words.
     """
-    key = exponential_key(quality_weight(F.col("quality")))
+    key = F.col("draw") / quality_weight(F.col("quality"))
     place = F.least((-F.expm1(-key) * float(1 << ORDER_BITS)).cast("long"), F.lit((1 << ORDER_BITS) - 1))
-    drawn = stored(docs.select("doc_id", "source", word_count().alias("size"), place.alias("place")), "mix-rows")
-    targets = source_targets(drawn.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
+    rows = stored(draws.select("doc_id", "source", "size", place.alias("place")), "mix-rows")
+    targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     want = F.floor(F.col("target") + 0.5)
     epochs = F.when(F.col("source_size") > 0, F.floor(want / F.col("source_size"))).otherwise(0).cast("long")
     sources = targets.withColumn("epochs", epochs).withColumn("rest", (want - F.col("epochs") * F.col("source_size")).cast("long"))
@@ -138,7 +152,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     few = _is_small(sources)
     beside_rows = lambda table: F.broadcast(table) if few else table
 
-    position = drawn.select("*", F.concat_ws("/", "_metadata.file_name", F.floor(F.col("_metadata.row_index") / ORDERED_ROWS).cast("string")).alias("lot"), F.col("_metadata.row_index").alias("row_at"))
+    position = rows.select("*", F.concat_ws("/", "_metadata.file_name", F.floor(F.col("_metadata.row_index") / ORDERED_ROWS).cast("string")).alias("lot"), F.col("_metadata.row_index").alias("row_at"))
     rows = position.join(beside_rows(sources.withColumnRenamed("source", "of_source")), F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
     ends, shift = _ends(rows.select("source_no", "place", "size"), sources, few)
     placed = rows.join(beside_rows(ends.select("source_no", "range", "before", "n")), "source_no", "left")
