@@ -25,10 +25,11 @@ columns named are read, so others may have any names.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -48,6 +49,10 @@ _DOC_BITS = 32
 _CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 
 
+# fixed value: how a byte-level vocabulary splits a text into words
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 @dataclass(frozen=True)
 class Vocabularies:
     """The files of both tokenizers: byte-level pairs (first side) and pieces (second side)."""
@@ -72,21 +77,27 @@ def _byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def byte_level_tokens(file: bytes) -> list[bytes]:
+    """The bytes of each id of a byte-level vocabulary whose ids follow its merges, so that an id is its token's rank."""
+    model = json.loads(file)["model"]
+    numbers = model["vocab"]
+    merged = ("".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"])
+    if model["type"] != "BPE" or any(numbers[token] != 256 + i for i, token in enumerate(merged)):
+        raise ValueError("not a byte-level vocabulary whose ids follow its merges")
+    alphabet = _byte_of_character()
+    return [bytes(alphabet[c] for c in token) for token in sorted(numbers, key=numbers.get)]
+
+
 class Encoders:
     """Both tokenizers, and the bytes of each of their tokens."""
 
     def __init__(self, files: Vocabularies):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has its own core only
         import sentencepiece
-        import tokenizers
-
-        self.first = tokenizers.Tokenizer.from_buffer(files.first)
-        self.first.encode_special_tokens = True
-        alphabet = _byte_of_character()
-        vocabulary = self.first.get_vocab()
-        self.first_bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, number in vocabulary.items():
-            self.first_bytes[number] = bytes(alphabet[c] for c in token)
+        import tiktoken
+
+        self.first_bytes = byte_level_tokens(files.first)
+        ranks = {token: number for number, token in enumerate(self.first_bytes)}
+        self.first = tiktoken.Encoding("first", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
         self.second = sentencepiece.SentencePieceProcessor(model_proto=files.second)
         self.second_bytes = [self._piece(i) for i in range(self.second.get_piece_size())]
         self.first_size = np.array([len(b) for b in self.first_bytes], np.int64)
@@ -114,13 +125,13 @@ class Encoders:
         """Ids of both sides, and the bounds of the texts in them; none for texts that do not come back."""
         parts = [self.parts(t) if t else [] for t in texts]
         flat = [p for ps in parts for p in ps]
-        first = [e.ids for e in self.first.encode_batch_fast([f" {p}" for p in flat], add_special_tokens=False)] if flat else []
+        first = [self.first.encode_ordinary(f" {p}") for p in flat]
         second = self.second.encode(flat, num_threads=1) if flat else []
         owner = np.concatenate(([0], np.cumsum([len(ps) for ps in parts]))).astype(np.int64)
         wanted = [f" {t}".encode() if t else b"" for t in texts]
         sides = []
         for lists, token_bytes in ((first, self.first_bytes), (second, self.second_bytes)):
-            ids = np.fromiter((i for ids in lists for i in ids), np.int64)
+            ids = np.fromiter(chain.from_iterable(lists), np.int64)
             counts = np.concatenate(([0], np.cumsum([len(ids) for ids in lists]))).astype(np.int64)
             bounds = counts[owner]
             sides.append((ids, bounds, [token_bytes[i] for i in ids.tolist()]))
