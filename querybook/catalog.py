@@ -163,7 +163,7 @@ def _loaded(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     )
     group = fixtures.LOAD_GROUP + " as load_group"
     cells = [amount if name == "amount" else name for name in schemas.TRANSACTION_COLUMNS]
-    rows = fixtures.prepared_transactions(spark, sf_dir).selectExpr(*cells, group).coalesce(1)
+    rows = fixtures.prepared_transactions(spark, sf_dir).selectExpr(*cells, group)
     write_csv(rows, path, "load_group")
     write_csv(rows.drop("load_group").limit(0), f"{path}/load_group=none")
     table = scratch_path(spark, "raw-table")
@@ -171,12 +171,55 @@ def _loaded(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     return table, report
 
 
+def _by_folder(report: DataFrame) -> DataFrame:
+    """A report's files added up by folder."""
+    folder = F.regexp_extract("file", "load_group=([a-z_]+)", 1)
+    names = ("rows_parsed", "rows_loaded", "errors_seen")
+    sums = report.groupBy(folder.alias("load_group")).agg(*(F.sum(name).alias(name) for name in names))
+    return sums.withColumn("status", raw_load.load_status(F.col("rows_loaded"), F.col("errors_seen")))
+
+
 @query
 def raw_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report of a load per file: one file in each folder, one of them without rows."""
+    """Report of a load by folder, one of them with a single file without rows."""
     _, report = _loaded(spark, sf_dir)
-    folder = F.regexp_extract("file", "load_group=([a-z_]+)", 1)
-    return report.select(folder.alias("load_group"), "rows_parsed", "rows_loaded", "errors_seen", "status")
+    return _by_folder(report)
+
+
+def _table_row(spark: SparkSession, table: str) -> DataFrame:
+    rows = files.row_count(raw_load.raw_table(spark, table, schemas.TRANSACTIONS))
+    return rows.select(F.lit("table"), "row_count", "row_count", F.lit(0).cast("long"), F.lit("LOADED"))
+
+
+@query
+def raw_load_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load run again after its files were corrected (and others spoilt): report, ledger and table."""
+    table = scratch_path(spark, "raw-table")
+    rows = fixtures.prepared_transactions(spark, sf_dir)
+    for bad in ("k % 71 = 31", "k % 73 = 5"):
+        path = scratch_path(spark, "raw-csv")
+        amount = f"case when {bad} then '12.5.1' else cast(amount as string) end as amount"
+        cells = [amount if name == "amount" else name for name in schemas.TRANSACTION_COLUMNS]
+        write_csv(rows.selectExpr(*cells, fixtures.LOAD_GROUP + " as load_group"), path, "load_group")
+        report = raw_load.load_table(spark, path, schemas.TRANSACTIONS, table, "load-1", "*/*.csv", once=True)
+    ledger = _by_folder(raw_load.ledger(spark, table))
+    whole = ledger.agg(*(F.sum(name).alias(name) for name in ("rows_parsed", "rows_loaded", "errors_seen")))
+    of_ledger = whole.select(F.lit("ledger"), "*", F.lit("LOADED"))
+    return _by_folder(report).union(of_ledger).union(_table_row(spark, table))
+
+
+@query
+def raw_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder loaded twice under two ids, with new files the second time: each file is in one load."""
+    path, table = scratch_path(spark, "raw-csv"), scratch_path(spark, "raw-table")
+    rows = fixtures.prepared_transactions(spark, sf_dir)
+    for load, chosen in (("first", "copy = 0"), ("second", "copy > 0"), ("third", None)):
+        if chosen:
+            write_csv(rows.filter(chosen).select(*schemas.TRANSACTION_COLUMNS), f"{path}/{load}")
+        raw_load.load_table(spark, path, schemas.TRANSACTIONS, table, load, "*/*.csv", once=True)
+    names = ("rows_parsed", "rows_loaded", "errors_seen")
+    by_load = raw_load.ledger(spark, table).groupBy(F.col("load_id").alias("load_group")).agg(*(F.sum(name).alias(name) for name in names))
+    return by_load.withColumn("status", raw_load.load_status(F.col("rows_loaded"), F.col("errors_seen"))).union(_table_row(spark, table))
 
 
 @query
@@ -279,6 +322,35 @@ def bronze_two_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.read_bronze_transactions(spark, path).select(*schemas.TRANSACTION_COLUMNS, *schemas.TRANSACTION_FLAGS)
 
 
+@query
+def bronze_corrected_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries run again, one with other rows of fewer months and one with none; ids stay as they are."""
+    path = scratch_path(spark, "bronze")
+    loads = fixtures.prepared_transactions(spark, sf_dir)
+    runs = (
+        ("007", "copy = 0"), ("1.10", "copy = 1"), ("2024-06-01", "copy = 2"),
+        ("007", "copy = 0 and k % 2 = 0 and substr(created_at, 6, 2) <= '06'"), ("2024-06-01", "copy < 0"),
+    )
+    for delivery, chosen in runs:
+        source = scratch_path(spark, "source")
+        write_csv(loads.filter(chosen).select(*schemas.TRANSACTION_COLUMNS), f"{source}/transactions.csv")
+        bronze.run_bronze(spark, source, path, INGESTED_AT, RUN_ID, delivery_id=delivery)
+    stored_rows = bronze.read_deliveries(spark, path)
+    return stored_rows.select(F.col(bronze.DELIVERY_COLUMN).alias("delivery_id"), *schemas.TRANSACTION_COLUMNS, *schemas.TRANSACTION_FLAGS)
+
+
+@query
+def bronze_delivery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of one delivery among others, under an id that looks like a number."""
+    path = scratch_path(spark, "bronze")
+    loads = fixtures.prepared_transactions(spark, sf_dir)
+    for delivery, chosen in (("1.10", "copy > 0"), ("007", "copy = 0")):
+        source = scratch_path(spark, "source")
+        write_csv(loads.filter(chosen).select(*schemas.TRANSACTION_COLUMNS), f"{source}/transactions.csv")
+        summary = bronze.run_bronze(spark, source, path, INGESTED_AT, RUN_ID, delivery_id=delivery)
+    return summary
+
+
 @query
 def raw_load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The load job: both raw tables, their counts and what the reports say."""

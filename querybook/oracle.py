@@ -347,6 +347,23 @@ def oracle() -> dict[str, str]:
         ),
         "bronze_ingest_without_customers": _chain(_summary("Transactions", "bronze")),
         "bronze_two_deliveries": _chain(f"select {TX}, {FLAGS} from bronze"),
+        "bronze_corrected_delivery": _chain(
+            f"select '007' as delivery_id, {TX}, {FLAGS} from bronze where copy = 0 and k % 2 = 0 and substr(created_at, 6, 2) <= '06' "
+            f"union all select '1.10', {TX}, {FLAGS} from bronze where copy = 1"
+        ),
+        "bronze_delivery_summary": _chain(_summary("Transactions", "(select * from bronze where copy = 0)")),
+        "raw_load_corrected": _chain(
+            "select load_group, rows_parsed, rows_loaded, errors_seen, case when errors_seen = 0 then 'LOADED' "
+            "when rows_loaded = 0 then 'LOAD_FAILED' else 'PARTIALLY_LOADED' end as status "
+            f"from (select {fixtures.LOAD_GROUP} as load_group, count(*) as rows_parsed, "
+            "count(*) filter (where k % 73 <> 5) as rows_loaded, count(*) filter (where k % 73 = 5) as errors_seen from tx group by 1) "
+            "union all select 'ledger', count(*), count(*) filter (where k % 73 <> 5), count(*) filter (where k % 73 = 5), 'LOADED' from tx "
+            "union all select 'table', count(*), count(*), 0, 'LOADED' from tx where k % 73 <> 5"
+        ),
+        "raw_load_twice": _chain(
+            "select case when copy = 0 then 'first' else 'second' end as load_group, count(*) as rows_parsed, count(*) as rows_loaded, "
+            "0 as errors_seen, 'LOADED' as status from tx group by 1 union all select 'table', count(*), count(*), 0, 'LOADED' from tx"
+        ),
         "raw_load_job": _chain(
             "select 'transactions' as table_name, count(*) as row_count, count(*) as rows_loaded, 0 as errors_seen from tx "
             "union all select 'customers', count(*), count(*), 0 from cust"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txquality.functions.dates import calendar_date
@@ -15,10 +17,20 @@ def _percent(part: str, whole: str) -> Column:
 
 def dq_summary(df: DataFrame, entity: str) -> DataFrame:
     """Rows with and without issues. NULL is no issue; percentages of nothing are NULL."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col("dq_has_issues")).alias("issue_rows"),
-    )
+    return _shares(df.agg(*(column.alias(name) for name, column in issue_counts().items())), entity)
+
+
+def issue_counts() -> dict[str, Column]:
+    """The aggregates a summary needs, by name; a write can take them as it goes."""
+    return {"total_rows": F.count(F.lit(1)), "issue_rows": F.count_if(F.col("dq_has_issues"))}
+
+
+def observed_summary(spark: SparkSession, counts: Mapping[str, int], entity: str) -> DataFrame:
+    """The summary of counts that a write has taken; nothing is read."""
+    return _shares(spark.range(1).select(*(F.lit(counts[name]).cast("long").alias(name) for name in issue_counts())), entity)
+
+
+def _shares(counts: DataFrame, entity: str) -> DataFrame:
     return counts.select(
         F.lit(entity).alias("entity"),
         "total_rows",

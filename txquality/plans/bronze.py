@@ -9,17 +9,19 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txquality import schemas
 from txquality.functions import dates, quality
-from txquality.operators.profile import dq_summary
-from txquality.session import require_utc
+from txquality.operators.profile import dq_summary, issue_counts, observed_summary
+from txquality.session import path_exists, require_utc
 from txquality.sinks import write_partitioned, write_plain
 from txquality.sources.files import customers_csv, if_present, transactions_csv, union_all
+from txquality.units import Units
 
 PARTITION_COLUMNS = ("partition_year", "partition_month")
 DELIVERY_COLUMN = "_delivery_id"
@@ -75,12 +77,24 @@ def bronze_customers(
     return with_audit(flag_customers(customers_csv(spark, path)), path, ingested_at, run_id)
 
 
+def deliveries(bronze_dir: str) -> Units:
+    """Transactions kept delivery by delivery."""
+    return Units(f"{bronze_dir}/transactions", DELIVERY_COLUMN)
+
+
 def read_bronze_transactions(spark: SparkSession, bronze_dir: str) -> DataFrame:
     """All stored rows, of every delivery; the delivery id is left out."""
     return _stored_transactions(spark, bronze_dir).select(*schemas.BRONZE_TRANSACTIONS.fieldNames())
 
 
+def read_deliveries(spark: SparkSession, bronze_dir: str, ids: Sequence[str] | None = None) -> DataFrame:
+    """Rows of the deliveries (all by default) as last delivered, with their id as it was given."""
+    return deliveries(bronze_dir).read(spark, schemas.BRONZE_TRANSACTIONS, ids)
+
+
 def _stored_transactions(spark: SparkSession, bronze_dir: str) -> DataFrame:
+    if deliveries(bronze_dir).entries(spark) is not None:
+        return read_deliveries(spark, bronze_dir)
     return spark.read.schema(schemas.BRONZE_TRANSACTIONS).parquet(f"{bronze_dir}/transactions")
 
 
@@ -89,8 +103,9 @@ def read_bronze_customers(spark: SparkSession, bronze_dir: str) -> DataFrame:
 
 
 def _refuse_other_layout(spark: SparkSession, bronze_dir: str, delivery_id: str | None) -> None:
-    there = if_present(lambda: _stored_transactions(spark, bronze_dir))
-    if there is not None and (DELIVERY_COLUMN in there.columns) != (delivery_id is not None):
+    units = deliveries(bronze_dir)
+    by_delivery = path_exists(spark, units.manifest)
+    if by_delivery != (delivery_id is not None) and path_exists(spark, units.root):
         raise ValueError("this Bronze folder is filled the other way: whole exports, or deliveries with an id")
 
 
@@ -107,14 +122,15 @@ def run_bronze(
 
     Without a ``delivery_id`` the source is taken as a whole export: each month
     it has rows of (and the rows without a date) replaces what is stored of that
-    month. With one, its rows are stored beside all others, and only running the
-    same delivery again replaces them; Silver's newest-version rule takes care of
-    rows that come more than once. A Bronze folder is filled in one way or the
-    other. ``rebalance=False`` saves the shuffle by month where files come laid
-    out by date.
-
-    Source text is parsed once, by the write. The summary then reads two small
-    columns of what was stored.
+    month. With one, its rows are stored beside all others, and delivering it
+    again replaces all of them, whatever months it had or has; Silver's
+    newest-version rule takes care of rows that come in more than one delivery. A
+    Bronze folder is filled in one way or the other. ``rebalance=False`` saves the
+    shuffle by month where files come laid out by date.
+
+    Source text is parsed once, by the write, which also counts the rows of a whole
+    export's summary. A delivery's summary is read as its readers will see it: two
+    small columns of its own folder.
     """
     require_utc(spark)
     if delivery_id is not None and not re.fullmatch(r"\w[\w.-]*", delivery_id):
@@ -128,22 +144,19 @@ def run_bronze(
     if transactions is not None:
         _refuse_other_layout(spark, bronze_dir, delivery_id)
         if delivery_id is None:
-            write_partitioned(transactions, f"{bronze_dir}/transactions", PARTITION_COLUMNS, rebalance)
-            written = _stored_transactions(spark, bronze_dir).filter(F.col("_run_id") == run_id)
+            seen = Observation()
+            write_partitioned(transactions, f"{bronze_dir}/transactions", PARTITION_COLUMNS, rebalance, (seen, issue_counts()))
+            summaries.append(observed_summary(spark, seen.get, "Transactions"))
         else:
-            marked = transactions.withColumn(DELIVERY_COLUMN, F.lit(delivery_id))
-            write_partitioned(marked, f"{bronze_dir}/transactions", (*PARTITION_COLUMNS, DELIVERY_COLUMN), rebalance)
-            # the delivery is a partition, so no other file is listed or opened; a delivery that is
-            # run again with fewer months leaves those it no longer has, which its run id tells apart
-            written = _stored_transactions(spark, bronze_dir).filter(
-                (F.col(DELIVERY_COLUMN).cast("string") == delivery_id) & (F.col("_run_id") == run_id)
-            )
-        summaries.append(dq_summary(written, "Transactions"))
+            deliveries(bronze_dir).replace(transactions, delivery_id, PARTITION_COLUMNS, rebalance)
+            own = read_deliveries(spark, bronze_dir, [delivery_id])
+            summaries.append(dq_summary(own.filter(F.col(DELIVERY_COLUMN) == delivery_id), "Transactions"))
 
     customer_path = f"{source_dir}/customers.csv"
     customers = if_present(lambda: bronze_customers(spark, customer_path, ingested_at, run_id))
     if customers is not None:
-        write_plain(customers, f"{bronze_dir}/customers")
-        summaries.append(dq_summary(read_bronze_customers(spark, bronze_dir), "Customers"))
+        seen = Observation()
+        write_plain(customers, f"{bronze_dir}/customers", (seen, issue_counts()))
+        summaries.append(observed_summary(spark, seen.get, "Customers"))
 
     return union_all(*summaries) if summaries else None

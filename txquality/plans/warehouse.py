@@ -37,18 +37,14 @@ class Refined:
 
 
 def run_raw_load(
-    spark: SparkSession, csv_dir: str, raw_dir: str, load_id: str, pattern: str = "*.csv"
+    spark: SparkSession, csv_dir: str, raw_dir: str, load_id: str, pattern: str = "*.csv", multi_line: bool = False
 ) -> DataFrame:
-    """Load both entities' CSV files into raw tables; report per file."""
+    """Load both entities' CSV files into raw tables, each file once; report per file of this load."""
     return union_all(
-        load_table(
-            spark, f"{csv_dir}/transactions", schemas.BRONZE_TRANSACTIONS,
-            f"{raw_dir}/transactions", load_id, pattern,
-        ),
-        load_table(
-            spark, f"{csv_dir}/customers", schemas.BRONZE_CUSTOMERS,
-            f"{raw_dir}/customers", load_id, pattern,
-        ),
+        *(
+            load_table(spark, f"{csv_dir}/{name}", schema, f"{raw_dir}/{name}", load_id, pattern, multi_line, once=True)
+            for name, schema in (("transactions", schemas.BRONZE_TRANSACTIONS), ("customers", schemas.BRONZE_CUSTOMERS))
+        )
     )
 
 

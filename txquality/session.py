@@ -53,6 +53,12 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"the session's zone is {zone}; this job needs {UTC}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on any file system Spark reads; nothing in it is listed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -6,13 +6,19 @@ import hashlib
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from txquality.sources.files import if_present
 
 
-def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], rebalance: bool = True) -> None:
+# an observation and the aggregates by name that it takes of the rows as they are written
+Observed = tuple[Observation, dict[str, Column]]
+
+
+def write_partitioned(
+    df: DataFrame, path: str, columns: Sequence[str], rebalance: bool = True, observed: Observed | None = None
+) -> None:
     """Write by partition; a rerun replaces the partitions it holds and no others.
 
     Rows without a partition value keep a partition of their own. Rebalancing
@@ -20,18 +26,24 @@ def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], rebalanc
     far above the advisory size is split among tasks, and small ones share a
     task. Pass ``rebalance=False`` where the input is already laid out by
     partition to save the shuffle.
+
+    ``observed`` aggregates are taken by the tasks that write, above the shuffle,
+    so a task that fails and runs again counts once.
     """
-    laid_out = df.hint("rebalance", *columns) if rebalance else df
-    (
-        laid_out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .parquet(path)
-    )
+    laid_out = df.hint("rebalance", *columns) if rebalance and columns else df
+    writer = _watched(laid_out, observed).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (writer.partitionBy(*columns) if columns else writer).parquet(path)
+
+
+def write_plain(df: DataFrame, path: str, observed: Observed | None = None) -> None:
+    _watched(df, observed).write.mode("overwrite").parquet(path)
 
 
-def write_plain(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def _watched(df: DataFrame, observed: Observed | None) -> DataFrame:
+    if observed is None:
+        return df
+    observation, aggregates = observed
+    return df.observe(observation, *(column.alias(name) for name, column in aggregates.items()))
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

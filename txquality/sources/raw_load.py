@@ -1,12 +1,17 @@
-"""Bulk load of CSV files into a raw table, with a report per file.
+"""Bulk load of CSV files into a raw table, with a report per file and a ledger of files.
 
-Every file is parsed once. The load is a Parquet table partitioned by load and
-by outcome, so rejected rows cost readers nothing, the report of a load reads
-two small columns of that load alone, and running a load again replaces it.
+Every file is parsed once. A load is a unit of the table (see ``units``): loading again
+under the same id replaces all of it, rejects included. Rejected rows lie apart, so they
+cost readers nothing, and a load's report reads two small columns of that load alone.
+
+The ledger beside the table holds a row for each file of each load: path, size,
+modification time and outcome. With ``once`` a load leaves out what another load has
+taken; a file that has changed since, or of which no row was loaded, is taken again.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
@@ -17,7 +22,9 @@ from pyspark.sql import types as T
 
 from txquality import schemas
 from txquality.functions.text import null_if_token, typed
-from txquality.sources.files import BAD_LINE, csv_options, is_absent
+from txquality.session import stored
+from txquality.sources.files import BAD_LINE, csv_options, if_present, is_absent
+from txquality.units import Units
 
 
 def parse_load(
@@ -29,11 +36,16 @@ def parse_load(
     not a NULL text does not fit its column's type. ``multi_line`` allows line
     breaks in quoted cells; such files are not split among tasks.
     """
+    return parse_files(spark, f"{folder.rstrip('/')}/{pattern}", schema, multi_line)
+
+
+def parse_files(spark: SparkSession, paths: str | list[str], schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """As ``parse_load``, for a pattern or a list of files."""
     as_text = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in schema]
         + [T.StructField(BAD_LINE, T.StringType())]
     )
-    text = csv_options(spark.read, multi_line).schema(as_text).csv(f"{folder.rstrip('/')}/{pattern}")
+    text = csv_options(spark.read, multi_line).schema(as_text).csv(paths)
     faults = [F.col(BAD_LINE).isNotNull()]
     cells = []
     for field in schema:
@@ -57,32 +69,81 @@ def load_table(
     load_id: str,
     pattern: str = "*.csv",
     multi_line: bool = False,
+    once: bool = False,
 ) -> DataFrame:
-    """Append a folder's CSV files to the raw table; returns the load's report.
+    """Load a folder's CSV files into the raw table; returns the load's report.
 
-    The report has every file of the folder; one without rows is LOADED with 0.
-    An absent folder or one without files loads nothing and reports no rows.
+    The report has every file of the load; one without rows is LOADED with 0. The
+    load replaces what was loaded under its id before, also with fewer files or none.
+    ``once`` takes only files that no other load has taken. The new files are named
+    to the reader one by one, as its own listing would.
+
+    An absent folder or one without files reports no rows, and takes back nothing:
+    files that were loaded may have been cleared away since.
     """
+    table = raw_units(table_path)
     try:
-        parsed = parse_load(spark, folder, schema, pattern, multi_line)
+        listed = file_list(spark, folder, pattern)
     except AnalysisException as error:
         if not is_absent(error):
             raise
         return spark.createDataFrame([], _report_schema())
-    (
-        parsed.withColumn("_load_id", F.lit(load_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_load_id", "_rejected")
-        .parquet(table_path)
+    if once:
+        listed = _not_taken(spark, table, listed, load_id)
+    listed = stored(listed, "load-files")
+    paths = [_literal_path(r["path"]) for r in listed.select("path").toLocalIterator()]
+    rows = parse_files(spark, paths, schema, multi_line) if paths else spark.createDataFrame([], _load_schema(schema))
+    attempt = table.replace(rows, load_id, ["_rejected"], rebalance=False)
+    report = load_report(_stored_load(spark, table_path, schema, [load_id]), listed.select("file"))
+    entries = report.join(listed, "file").select(
+        F.lit(load_id).alias("load_id"), F.lit(attempt).alias("attempt"), "file", "size", "modified", *LEDGER_OUTCOME
     )
-    rows = _stored_load(spark, table_path, schema).filter(F.col("_load_id") == load_id)
-    return load_report(rows, file_list(spark, folder, pattern))
+    entries.write.mode("append").parquet(_ledger_path(table))
+    return load_report(_stored_load(spark, table_path, schema, [load_id]), listed.select("file"))
+
+
+LEDGER_OUTCOME = ("rows_parsed", "rows_loaded", "errors_seen", "status")
+_LEDGER = (
+    "load_id string, attempt string, file string, size long, modified timestamp, "
+    "rows_parsed long, rows_loaded long, errors_seen long, status string"
+)
+
+
+def raw_units(table_path: str) -> Units:
+    return Units(table_path, LOAD_COLUMN)
+
+
+def _ledger_path(table: Units) -> str:
+    return f"{table.root}/_ledger"
+
+
+def ledger(spark: SparkSession, table_path: str) -> DataFrame:
+    """Every file that counts in the table, with its load, size, time and outcome."""
+    table = raw_units(table_path)
+    current = table.current(spark)
+    rows = if_present(lambda: spark.read.schema(_LEDGER).parquet(_ledger_path(table)))
+    if rows is None or not current:
+        return spark.createDataFrame([], _LEDGER).drop("attempt")
+    counting = spark.createDataFrame([(unit, attempt) for unit, (attempt, _) in current.items()], "load_id string, attempt string")
+    return rows.join(F.broadcast(counting), ["load_id", "attempt"], "left_semi").drop("attempt")
+
+
+def _not_taken(spark: SparkSession, table: Units, listed: DataFrame, load_id: str) -> DataFrame:
+    """Listed files but those that another load has taken as they are."""
+    others = ledger(spark, table.location).filter((F.col("load_id") != load_id) & (F.col("status") != "LOAD_FAILED"))
+    return listed.join(others.select("file", "size", "modified").distinct(), ["file", "size", "modified"], "left_anti").select(*listed.columns)
+
+
+def _literal_path(path: str) -> str:
+    """A path that Spark takes as it is, not as a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
 def file_list(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """The folder's files, as Spark lists them; nothing of their content is read."""
-    return spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{pattern}").select(F.col("_metadata.file_path").alias("file"))
+    return spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{pattern}").select(
+        F.col("_metadata.file_path").alias("file"), "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")
+    )
 
 
 def load_report(parsed: DataFrame, files: DataFrame | None = None) -> DataFrame:
@@ -104,22 +165,23 @@ def load_status(loaded: Column, errors: Column) -> Column:
 
 
 def raw_table(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
-    """The accepted rows of all loads."""
+    """The accepted rows of all loads; FileNotFoundError if nothing was ever loaded."""
+    if raw_units(table_path).entries(spark) is None:
+        raise FileNotFoundError(f"nothing was loaded into {table_path}")
     accepted = _stored_load(spark, table_path, schema).filter(~F.col("_rejected"))
     return accepted.select(*schema.fieldNames())
 
 
-def _stored_load(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
+LOAD_COLUMN = "_load_id"
+
+
+def _load_schema(schema: T.StructType) -> T.StructType:
     # the schema is given, so no file footers are read to infer it
-    full = T.StructType(
-        list(schema.fields)
-        + [
-            T.StructField("_load_file", T.StringType()),
-            T.StructField("_load_id", T.StringType()),
-            T.StructField("_rejected", T.BooleanType()),
-        ]
-    )
-    return spark.read.schema(full).parquet(table_path)
+    return T.StructType([*schema.fields, T.StructField("_load_file", T.StringType()), T.StructField("_rejected", T.BooleanType())])
+
+
+def _stored_load(spark: SparkSession, table_path: str, schema: T.StructType, loads: list[str] | None = None) -> DataFrame:
+    return raw_units(table_path).read(spark, _load_schema(schema), loads)
 
 
 def _report_schema() -> T.StructType:
