@@ -128,3 +128,37 @@ def test_template_and_plain_words_make_one_run(spark, make):
     rows = found(spark, make([changed, changed.replace("mm", "km")]), [(1, item)])
     assert [rows[i].run_words for i in range(2)] == [len(item.split()), len(item.split()) - 1]
     assert all(rows[i].values_changed for i in range(2))
+
+
+def test_rows_of_one_id_or_without_one_stand_for_themselves(spark):
+    """Parts of an item in several rows are no run, whatever ids the rows share."""
+    item = " ".join(f"token{chr(97 + i)}x" for i in range(26))
+    words = item.split()
+    parts = [" ".join(words[:9]), "nothing of it at all in this row", " ".join(words[8:20])]
+    for doc_id in (None, 7):
+        docs = spark.createDataFrame([(doc_id, t) for t in parts] + [(doc_id, item), (8, None), (9, "")], "doc_id long, text string").repartition(3)
+        bench = spark.createDataFrame([(1, item), (2, item), (2, item)], "item_id long, text string")
+        found = [(r.doc_id, r.contaminated, r["items"], r.run_words) for r in dc.verdicts(docs, bench).collect()]
+        assert sorted(found, key=str) == sorted([(doc_id, False, [], 0)] * 3 + [(doc_id, True, [1, 2], 26), (8, False, [], 0), (9, False, [], 0)], key=str)
+        kept = [r.text for r in dc.decontaminated(docs, bench).collect()]
+        assert sorted(kept, key=str) == sorted([*parts, None, ""], key=str)
+
+
+def test_items_that_repeat_are_looked_for_once(spark):
+    item = " ".join(f"other{chr(97 + i)}y" for i in range(20))
+    docs = spark.createDataFrame([(i, f"intro {item} end {i}") for i in range(20)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, item) for i in range(50)], "item_id long, text string")
+    assert dc._matched(docs, bench).count() == 20
+    assert all(r["items"] == list(range(50)) for r in dc.verdicts(docs, bench).collect())
+    assert dc.matches(docs, bench).count() == 1000
+
+
+def test_a_text_longer_than_a_piece_and_clashing_names(spark):
+    item = " ".join(f"long{chr(97 + i)}z" for i in range(20))
+    text = "filler words go here " * 150_000 + item + " more filler" * 50_000
+    columns = "doc_id long, text string, item string, items string, words int, doc string, hash int"
+    docs = spark.createDataFrame([(1, text, "a", "b", 1, "c", 2), (2, text[:-1000].replace("longaz", "x"), "a", "b", 1, "c", 2)], columns)
+    bench = spark.createDataFrame([(5, item)], "item_id long, text string")
+    assert {r.doc_id: (r.contaminated, r.run_words) for r in dc.verdicts(docs, bench).collect()} == {1: (True, 20), 2: (True, 19)}
+    kept = dc.decontaminated(docs, spark.createDataFrame([(5, f"{item} absent")], "item_id long, text string"))
+    assert kept.columns == docs.columns and kept.count() == 0

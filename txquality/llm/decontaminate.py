@@ -19,9 +19,14 @@ another word of its sentence. A unit is a listed unit that follows a number.
 Template windows with fewer than LITERAL_WORDS words outside slots say nothing and
 are not used; plain words match however few of them stand outside slots. Items with fewer than LEAST_WORDS words are not looked for.
 
-Defined cases: NULL and empty texts are clean; items that repeat match
-alike; rows that share a document id share its verdict; a NULL id is an id;
-an empty benchmark leaves every document clean; other columns pass through.
+Documents go by id and text, not by id alone: rows of one id with different texts, or
+without an id, have verdicts of their own, and runs are never put together from two.
+Items go by their text until the end, so items that repeat cost nothing in between.
+
+Defined cases: NULL and empty texts are clean; items that repeat match alike; rows
+that repeat id and text share their verdict; an empty benchmark leaves every document
+clean; texts of any length are read whole, in pieces of bounded size where several fit
+into one; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txquality.llm import textkit as tk
@@ -145,7 +150,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _doc_windows(sift: object | None, widths: list[int]):
-    names = ["doc_id", "doc_pos", "hash", "typed", "doc_slots"]
+    names = ["doc", "doc_pos", "hash", "typed", "doc_slots"]
     mask = np.uint64((1 << SIFT_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,11 +178,30 @@ def _field(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
+_TEXT_KEY = "__text_key"
+
+
+def _by_text(df: DataFrame) -> DataFrame:
+    return df.withColumn(_TEXT_KEY, F.xxhash64("text"))
+
+
+def _item_ids(benchmark: DataFrame) -> DataFrame:
+    """The ids of each benchmark text."""
+    return benchmark.groupBy(F.xxhash64("text").alias("item")).agg(F.collect_set("item_id").alias("item_ids"))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, words, same_values): consistent runs of each item in each document, the longest run."""
+    """(doc_id, item_id, words, same_values): consistent runs of each item in each document (id and text), the longest run."""
+    found = _matched(docs, benchmark).join(_item_ids(benchmark), "item")
+    return found.select("doc_id", F.explode("item_ids").alias("item_id"), "words", "same_values")
+
+
+def _matched(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, text key, item, words, same_values), where an item is the key of a benchmark text."""
     spark = docs.sparkSession
+    texts = benchmark.select(F.xxhash64("text").alias("item"), "text").dropDuplicates(["item"])
     items = stored(
-        benchmark.select("item_id", "text").mapInArrow(_item_windows, f"item_id {_field(benchmark, 'item_id')}, item_pos long, hash long, typed boolean, item_slots array<long>, item_words long, width long"),
+        texts.mapInArrow(_item_windows, "item_id long, item_pos long, hash long, typed boolean, item_slots array<long>, item_words long, width long"),
         "benchmark-windows",
     )
     widths = sorted(r[0] for r in items.select("width").distinct().collect())
@@ -186,9 +210,10 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         found = items.select("hash").distinct().toPandas()["hash"].to_numpy(np.int64)
         sift = spark.sparkContext.broadcast(np.sort(tk.unsigned(found)))
     # a benchmark without windows matches nothing, and needs no look at the documents
-    source = docs.select("doc_id", "text") if widths else docs.select("doc_id", "text").limit(0)
-    places = source.mapInArrow(_doc_windows(sift if widths else None, widths), f"doc_id {_field(docs, 'doc_id')}, doc_pos long, hash long, typed boolean, doc_slots array<long>")
-    diagonal = ["doc_key", "item_id", "diagonal", "width"]
+    source = docs.select(F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_key")), "text")
+    doc = f"struct<doc_id:{_field(docs, 'doc_id')},text_key:bigint>"
+    places = (source if widths else source.limit(0)).mapInArrow(_doc_windows(sift if widths else None, widths), f"doc {doc}, doc_pos long, hash long, typed boolean, doc_slots array<long>")
+    diagonal = ["doc", "item_id", "diagonal", "width"]
     # plain words that are equal keep their values, whatever the document's own case makes of them
     kept = F.transform("item_slots", lambda s: F.struct(s.alias("item_slots"), s.alias("doc_slots")))
     bare = (F.size("item_slots") == 0) & (F.size("doc_slots") == 0)
@@ -196,16 +221,16 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = (
         places.join(items, ["hash", "typed"])
         .where(~F.col("typed") | (F.size("item_slots") == F.size("doc_slots")))
-        .select("doc_id", F.xxhash64("doc_id", F.col("doc_id").isNull()).alias("doc_key"), "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("diagonal"), "width", "item_pos", "item_words", F.when(F.col("typed"), F.arrays_zip("item_slots", "doc_slots")).otherwise(kept).alias("slots"), kinds.alias("kinds"))
+        .select("doc", "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("diagonal"), "width", "item_pos", "item_words", F.when(F.col("typed"), F.arrays_zip("item_slots", "doc_slots")).otherwise(kept).alias("slots"), kinds.alias("kinds"))
         .distinct()
         .withColumn("kind", F.explode("kinds"))
         .drop("kinds")
     )
-    along = Window.partitionBy(*diagonal, "kind", "doc_id").orderBy("item_pos")
+    along = Window.partitionBy(*diagonal, "kind").orderBy("item_pos")
     step = F.col("item_pos") - F.lag("item_pos").over(along)
     runs = hits.withColumn("step", step).withColumn("run", F.sum(F.when(F.col("step").isNull() | (F.col("step") > F.col("width")), 1).otherwise(0)).over(along))
     pairs = F.array_distinct(F.flatten(F.collect_set("slots")))
-    merged = runs.groupBy(*diagonal, "kind", "doc_id", "run").agg(
+    merged = runs.groupBy(*diagonal, "kind", "run").agg(
         F.sum(F.when((F.col("step").isNull()) | (F.col("step") > F.col("width")), F.col("width")).otherwise(F.col("step"))).alias("words"),
         F.max("item_words").alias("item_words"),
         pairs.alias("pairs"),
@@ -218,20 +243,22 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     longer = F.max(F.when(F.col("kind") != VERBATIM, same))
     return (
         merged.where((F.col("words") >= F.least(F.lit(RUN_WORDS), F.col("item_words"))) & one_to_one)
-        .groupBy(*diagonal, "doc_id")
+        .groupBy(*diagonal)
         .agg(F.max("words").alias("words"), F.coalesce(longer, F.lit(True)).alias("same_values"))
-        .groupBy("doc_id", "item_id")
+        .groupBy("doc", F.col("item_id").alias("item"))
         .agg(F.max("words").alias("words"), F.max("same_values").alias("same_values"))
+        .select("doc.doc_id", F.col("doc.text_key").alias(_TEXT_KEY), "item", "words", "same_values")
     )
 
 
 def verdicts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document: whether it is contaminated, by which items, the longest run, and whether values differ from the item's in all of them."""
-    found = matches(docs, benchmark).groupBy(F.col("doc_id").alias("__id")).agg(
-        F.sort_array(F.collect_set("item_id")).alias("items"), F.max("words").alias("run_words"), F.max("same_values").alias("same_values")
+    by_item = _matched(docs, benchmark).join(_item_ids(benchmark), "item")
+    found = by_item.groupBy(F.col("doc_id").alias("__id"), F.col(_TEXT_KEY).alias("__key")).agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("items"), F.max("words").alias("run_words"), F.max("same_values").alias("same_values")
     )
-    ids = docs.select("doc_id")
-    return ids.join(found, ids["doc_id"].eqNullSafe(found["__id"]), "left").select(
+    rows = _by_text(docs).select("doc_id", _TEXT_KEY)
+    return rows.join(found, _same_document(rows, found), "left").select(
         "doc_id",
         F.col("items").isNotNull().alias("contaminated"),
         F.coalesce("items", F.array().cast(f"array<{_field(benchmark, 'item_id')}>")).alias("items"),
@@ -240,7 +267,12 @@ def verdicts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def _same_document(rows: DataFrame, found: DataFrame) -> Column:
+    return (rows[_TEXT_KEY] == found["__key"]) & rows["doc_id"].eqNullSafe(found["__id"])
+
+
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without those that hold a benchmark item."""
-    found = matches(docs, benchmark).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left_anti")
+    found = _matched(docs, benchmark).select(F.col("doc_id").alias("__id"), F.col(_TEXT_KEY).alias("__key")).distinct()
+    rows = _by_text(docs)
+    return rows.join(found, _same_document(rows, found), "left_anti").drop(_TEXT_KEY)
