@@ -2,15 +2,16 @@
 
 Native: DataFrame functions only. All nodes of a level are cut together. A cut
 is found by refining histograms of the bytes along the node's widest dimension,
-ties ordered by the text's checksum and then by a hash of the document id, so
-equal texts lie side by side and are parted only where a shard would otherwise
-be off its share. A histogram has a fixed number of bins for each node,
+ties ordered by the text's checksum, then by a hash of the document id and the
+place of the stored row, so equal texts lie side by side and are parted only
+where a shard would otherwise be off its share, even if one row repeats without end. A histogram has a fixed number of bins for each node,
 whatever the number of rows, and is summed before the shuffle. The driver holds
 the tree's cuts and one level's histograms.
 
 Defined cases: a NULL text has size 1 and checksum 0; an empty table gives no
-rows; NULL dimensions count as 0; rows that repeat id and text stay together
-and get slots of their own; other columns are not needed and may clash with
+rows; NULL dimensions count as 0; rows that repeat id and text lie side by side,
+are parted like equal texts, and get slots of their own; texts of any length are
+measured whole by Spark; other columns are not needed and may clash with
 nothing, as only named columns are read.
 """
 
@@ -27,7 +28,9 @@ from txquality.session import stored
 BIN_BITS = 12
 DIM_BITS = 20
 TIE_BITS = 32
+# a hash of the id, and below it one of the place of the row
 ID_BITS = 48
+PLACE_BITS = 20
 # how far a shard may be off its share of the bytes, as a part of that share
 TOLERANCE = 0.002
 SLOT_ROWS = 50_000
@@ -141,7 +144,11 @@ def kd_shards(rows: DataFrame, dims: list[str], shards: int | None = None, targe
     """
     if (shards is None) == (target_bytes is None):
         raise ValueError("give shards or target_bytes")
-    kept = stored(rows.withColumn("tie_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << ID_BITS))), "kd-rows")
+    kept = stored(rows, "kd-rows")
+    # rows that repeat id and text differ by where they are stored, so that a cut can part them
+    place = F.pmod(F.xxhash64(F.col("_metadata.file_name"), F.col("_metadata.row_index")), F.lit(1 << PLACE_BITS))
+    by_id = F.pmod(F.xxhash64("doc_id"), F.lit(1 << (ID_BITS - PLACE_BITS)))
+    kept = kept.select("*", (by_id * (1 << PLACE_BITS) + place).alias("tie_id"))
     work = _scaled(kept, dims).withColumn("node", F.lit(1).cast("long"))
     total = kept.agg(F.sum("size")).first()[0] or 0
     shards = shards or max(1, math.ceil(total / target_bytes))
@@ -179,9 +186,10 @@ def kd_shards(rows: DataFrame, dims: list[str], shards: int | None = None, targe
 def with_slots(placed: DataFrame) -> DataFrame:
     """Gapless slots in each shard: rows are numbered within small parts, whose counts are then added up."""
     placed = stored(placed, "kd-placed")
-    parts = max(1, math.ceil(placed.count() / SLOT_ROWS))
-    cut = placed.withColumn("part", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(parts)))
+    # a part is a stretch of a stored file, so it is small whatever its rows are
+    part = F.concat_ws("/", "_metadata.file_name", F.floor(F.col("_metadata.row_index") / SLOT_ROWS).cast("string"))
+    cut = placed.select("*", part.alias("part"), F.col("_metadata.row_index").alias("row_at"))
     counts = cut.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    number = F.row_number().over(Window.partitionBy("shard", "part").orderBy("tie", "doc_id"))
-    return cut.withColumn("number", number).join(before, ["shard", "part"]).withColumn("slot", F.col("before") + F.col("number") - 1).drop("part", "number", "before")
+    number = F.row_number().over(Window.partitionBy("shard", "part").orderBy("tie", "doc_id", "row_at"))
+    return cut.withColumn("number", number).join(before, ["shard", "part"]).withColumn("slot", F.col("before") + F.col("number") - 1).drop("part", "number", "before", "row_at")
