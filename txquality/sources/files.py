@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txquality import schemas
 from txquality.functions.text import null_if_token, typed
+from txquality.sources.quoted_csv import read_records
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -47,14 +50,11 @@ def read_csv_folder(
     to the wrong columns. A row with more cells than columns is an error; one with
     fewer is filled with NULL.
 
-    ``multi_line`` allows line breaks in quoted cells. Such files cannot be split
-    among tasks, so it is off unless asked for; a quoted cell that a line break
-    cuts off then is an error.
+    ``multi_line`` allows line breaks in quoted cells, at the price of a second pass over
+    the text; without it a quoted cell that a line break cuts off is an error.
     """
-    as_text = T.StructType([*(T.StructField(f.name, T.StringType()) for f in schema), T.StructField(BAD_LINE, T.StringType())])
-    reader = csv_options(spark.read, multi_line).option("enforceSchema", "false")
     try:
-        text = reader.schema(as_text).csv(f"{folder.rstrip('/')}/{pattern}")
+        text = csv_text(spark, f"{folder.rstrip('/')}/{pattern}", schema, multi_line, check_header=True)
     except AnalysisException as error:
         if is_absent(error):
             raise FileNotFoundError(f"no files match {pattern} in {folder}") from error
@@ -69,13 +69,40 @@ def read_csv_folder(
     return text.filter(fits).select(*cells)
 
 
-BAD_LINE = "_bad_line"
+BAD_LINE, FILE = "_bad_line", "_file"
+
 
+_QUOTING = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE, "columnPruning": "false"}
 
-def csv_options(reader: DataFrameReader, multi_line: bool) -> DataFrameReader:
-    """A header, doubled quotes, and the text of rows that don't fit in a column of its own."""
-    options = {"header": "true", "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE, "columnPruning": "false"}
-    return reader.options(**options, multiLine=multi_line)
+
+def csv_text(
+    spark: SparkSession, paths: str | list[str], schema: T.StructType, multi_line: bool, check_header: bool
+) -> DataFrame:
+    """Cells of CSV files as text, named as in ``schema``, the text of rows that don't fit, and each row's file.
+
+    Files have a header, which may be held against the schema, and doubled quotes. They
+    are split among tasks, with line breaks in quoted cells or without.
+    """
+    as_text = T.StructType([*(T.StructField(f.name, T.StringType()) for f in schema), T.StructField(BAD_LINE, T.StringType())])
+    if not multi_line:
+        reader = spark.read.options(header="true", enforceSchema=not check_header, **_QUOTING)
+        return reader.schema(as_text).csv(paths).select("*", F.col("_metadata.file_path").alias(FILE))
+    records = read_records(spark, paths)
+    # a record may end in the carriage return of its line, a file begin with a byte-order mark
+    record = F.regexp_replace(F.regexp_replace("record", r"\r\z", ""), "^\ufeff", "")
+    columns = ", ".join(f"`{name}` string" for name in as_text.fieldNames())
+    parsed = records.select("file", "first", F.from_csv(record, columns, {**_QUOTING, "multiLine": "true"}).alias("cells"))
+    rows = parsed.filter(F.when(F.col("first"), _is_header(schema, check_header)).otherwise(F.lit(True)))
+    return rows.select("cells.*", F.col("file").alias(FILE))
+
+
+def _is_header(schema: T.StructType, check: bool) -> Column:
+    """FALSE for a header, which is no row; an error for one of other columns."""
+    if not check:
+        return F.lit(False)
+    named = reduce(and_, (F.lower(F.col("cells")[f.name]) == f.name.lower() for f in schema), F.col("cells")[BAD_LINE].isNull())
+    refused = F.concat(F.lit("the CSV header of other columns than the schema has: "), F.col("file"))
+    return F.when(F.coalesce(named, F.lit(False)), F.lit(False)).otherwise(F.raise_error(refused).cast("boolean"))
 
 
 def _spoilt(columns: int) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from txquality import schemas
 from txquality.functions.text import null_if_token, typed
 from txquality.session import stored
-from txquality.sources.files import BAD_LINE, csv_options, if_present, is_absent
+from txquality.sources.files import BAD_LINE, FILE, csv_text, if_present, is_absent
 from txquality.units import Units
 
 
@@ -34,18 +34,14 @@ def parse_load(
 
     A row is rejected if it has too few or too many cells, or if a cell that is
     not a NULL text does not fit its column's type. ``multi_line`` allows line
-    breaks in quoted cells; such files are not split among tasks.
+    breaks in quoted cells, at the price of a second pass over the text.
     """
     return parse_files(spark, f"{folder.rstrip('/')}/{pattern}", schema, multi_line)
 
 
 def parse_files(spark: SparkSession, paths: str | list[str], schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """As ``parse_load``, for a pattern or a list of files."""
-    as_text = T.StructType(
-        [T.StructField(f.name, T.StringType()) for f in schema]
-        + [T.StructField(BAD_LINE, T.StringType())]
-    )
-    text = csv_options(spark.read, multi_line).schema(as_text).csv(paths)
+    text = csv_text(spark, paths, schema, multi_line, check_header=False)
     faults = [F.col(BAD_LINE).isNotNull()]
     cells = []
     for field in schema:
@@ -56,7 +52,7 @@ def parse_files(spark: SparkSession, paths: str | list[str], schema: T.StructTyp
             faults.append(token.isNotNull() & value.isNull())
     return text.select(
         *cells,
-        F.col("_metadata.file_path").alias("_load_file"),
+        F.col(FILE).alias("_load_file"),
         reduce(or_, faults).alias("_rejected"),
     )
 
