@@ -193,3 +193,34 @@ def test_a_refinement_whose_gold_step_failed_resumes(spark, tmp_path, monkeypatc
     assert run_refinement(spark, rows, customers, str(tmp_path), AT, "r1", names).gold.count() == 4
     with pytest.raises(ValueError, match="already has"):
         run_refinement(spark, rows, customers, str(tmp_path), AT, "r1", names)
+
+
+def test_all_tests_of_a_table_share_a_scan_and_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).select(F.col("id").alias("a"), (F.col("id") % 7).cast("string").alias("b"), F.when(F.col("id") > 3, 1.5).alias("c")).write.parquet(path)
+    tests = [
+        table_tests.TableTest("t", "unique", "a"), table_tests.TableTest("t", "unique", "b"), table_tests.TableTest("t", "not_null", "c"),
+        table_tests.TableTest("t", "accepted_values", "b", ("1", "2")), table_tests.TableTest("t", "unique", "c"),
+    ]
+    found = table_tests.run_table_tests({"t": spark.read.parquet(path)}, tests)
+    text = plan(found)
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
+    assert [r["failures"] for r in found.collect()] == [0, 7, 4, 5, 1]
+
+
+def test_values_are_equal_as_their_types_say(spark):
+    """One zero, NaN as one value, times by instant, texts as they are; arrays too."""
+    rows = spark.sql(
+        "select * from values (0.0D, timestamp'2024-01-01 00:00:00', 'a', array(1)), (-0.0D, timestamp'2024-01-01 00:00:00.000001', 'A', array(1)), "
+        "(double('nan'), null, 'a ', array(2)), (double('nan'), null, null, null) as t(x, at, s, l)"
+    )
+    failures = {c: one(table_tests.unique(rows, c))["failures"] for c in ("x", "at", "s", "l")}
+    assert failures == {"x": 2, "at": 0, "s": 0, "l": 1}
+
+
+def test_uniqueness_checks_of_a_suite_share_a_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(50).select("id", (F.col("id") % 5).alias("g"), F.lit("x").alias("s")).write.parquet(path)
+    found = ex.run_suite(spark.read.parquet(path), "s", [ex.unique("id"), ex.unique("g"), ex.no_nulls("s"), ex.unique("s")])
+    assert plan(found).count("FileScan") == 2
+    assert {r["position"]: r["observed"] for r in found.collect() if "unique" in r["check_name"]} == {1: 0.0, 2: 45.0, 4: 49.0}

@@ -2,12 +2,12 @@
 
 Each check adds its aggregates to a single pass over the table; the pass yields
 one row that is turned into one result row per check. Uniqueness needs a group
-per value, so each such check is a narrow aggregation of its own.
+per value, so all such checks share a second, narrow aggregation.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from decimal import Decimal
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from txquality import schemas
 from txquality.functions.money import ratio
 from txquality.functions.text import number_or_null, quoted
+from txquality.operators.value_groups import SURPLUS, Tested, can_group, count_groups
 
 
 @dataclass(frozen=True)
@@ -143,9 +144,13 @@ def run_suite(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
         return df.sparkSession.createDataFrame([], RESULT)
     rows = []
     parts = []
+    unique_checks = {}
     for position, check in enumerate(checks, start=1):
         if check.kind == "unique" and check.column in df.columns:
-            parts.append(_unique_result(df, suite, position, check))
+            if can_group(df, check.column):
+                unique_checks[position] = check
+            else:
+                parts.append(_unique_result(df, suite, position, check))
             continue
         compiled = _compile(df, check, f"_c{position}")
         shared |= compiled.aggregates
@@ -153,6 +158,8 @@ def run_suite(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
     if rows:
         once = df.agg(*(aggregate.alias(name) for name, aggregate in shared.items()))
         parts.insert(0, once.select(F.inline(F.array(*rows))))
+    if unique_checks:
+        parts.append(_unique_results(df, suite, unique_checks))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -287,6 +294,18 @@ def _tolerant(success: Column, rate: Column, label: str, aggregates: dict[str, C
     return _Compiled(F.coalesce(success, F.lit(False)), rate, detail, aggregates)
 
 
+def _unique_results(df: DataFrame, suite: str, checks: Mapping[int, Check]) -> DataFrame:
+    """All uniqueness checks of a suite, from one scan and one shuffle."""
+    names = [f"_c{position}" for position in checks]
+    tests = [Tested(SURPLUS, ~_is_missing(df, check.column), check.column) for check in checks.values()]
+    rows = [_result(suite, position, check, _excess(F.col(name))) for (position, check), name in zip(checks.items(), names)]
+    return count_groups(df, tests, names).select(F.inline(F.array(*rows)))
+
+
+def _excess(excess: Column) -> _Compiled:
+    return _Compiled(excess == 0, excess.cast("double"), F.format_string("duplicates=%d", excess))
+
+
 def _unique_result(df: DataFrame, suite: str, position: int, check: Check) -> DataFrame:
     """Rows beyond the first of each value. Rows are counted per value before
     the shuffle, so a value that fills much of the table is one row per task."""
@@ -296,11 +315,7 @@ def _unique_result(df: DataFrame, suite: str, position: int, check: Check) -> Da
         .agg(F.count(F.lit(1)).alias("_n"))
         .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_excess"))
     )
-    excess = F.col("_excess")
-    compiled = _Compiled(
-        excess == 0, excess.cast("double"), F.format_string("duplicates=%d", excess)
-    )
-    return per_value.select(F.inline(F.array(_result(suite, position, check, compiled))))
+    return per_value.select(F.inline(F.array(_result(suite, position, check, _excess(F.col("_excess"))))))
 
 
 def _result(suite: str, position: int, check: Check, compiled: _Compiled) -> Column:

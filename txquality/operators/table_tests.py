@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from txquality import schemas
 from txquality.functions.text import quoted
 from txquality.operators.profile import value_counts
+from txquality.operators.value_groups import REPEATED, ROWS, VALUES, Tested, can_group, count_groups
 
 
 @dataclass(frozen=True)
@@ -74,37 +75,41 @@ def run_table_tests(
 ) -> DataFrame:
     """Results of all tests as one table.
 
-    All not_null tests of a table share one scan; each other test reads its one
-    column. Pass stored tables: every branch reads its input again.
+    All tests of a table share one scan and one shuffle; only values without a text
+    of their own (arrays, structs) are grouped by a branch that reads the table again.
     """
     if not tests:
         return next(iter(tables.values())).sparkSession.createDataFrame([], RESULT)
     parts = []
     for table in dict.fromkeys(t.table for t in tests):
         own = [t for t in tests if t.table == table]
-        nulls = [t for t in own if t.test == "not_null"]
-        if nulls:
-            parts.append(_null_counts(tables[table], nulls))
-        parts.extend(_offending_values(tables[table], t) for t in own if t.test != "not_null")
+        apart = [t for t in own if t.test == "unique" and not can_group(tables[table], t.column)]
+        together = [t for t in own if t not in apart]
+        if together:
+            parts.append(_counted_together(tables[table], together))
+        parts.extend(_repeated(tables[table], t) for t in apart)
     return reduce(DataFrame.unionByName, parts)
 
 
-def _null_counts(df: DataFrame, tests: Sequence[TableTest]) -> DataFrame:
-    counted = df.agg(
-        *(F.count_if(F.col(quoted(t.column)).isNull()).alias(f"n{i}") for i, t in enumerate(tests))
-    )
-    rows = [_result(t, F.col(f"n{i}")) for i, t in enumerate(tests)]
-    return counted.select(F.inline(F.array(*rows)))
+def _counted_together(df: DataFrame, tests: Sequence[TableTest]) -> DataFrame:
+    names = [f"n{i}" for i in range(len(tests))]
+    counted = count_groups(df, [_tested(df, t) for t in tests], names)
+    return counted.select(F.inline(F.array(*(_result(t, F.col(name)) for t, name in zip(tests, names)))))
 
 
-def _offending_values(df: DataFrame, test: TableTest) -> DataFrame:
+def _tested(df: DataFrame, test: TableTest) -> Tested:
+    column = F.col(quoted(test.column))
+    if test.test == "not_null":
+        return Tested(ROWS, column.isNull())
     if test.test == "unique":
-        offending = repeated_values(df, test.column)
-    elif test.test == "accepted_values":
-        offending = unaccepted_values(df, test.column, test.values)
-    else:
-        raise ValueError(f"unknown table test: {test.test}")
-    counted = offending.agg(F.count(F.lit(1)).alias("n"))
+        return Tested(REPEATED, column.isNotNull(), test.column)
+    if test.test == "accepted_values":
+        return Tested(VALUES, ~column.isin(*test.values), test.column)
+    raise ValueError(f"unknown table test: {test.test}")
+
+
+def _repeated(df: DataFrame, test: TableTest) -> DataFrame:
+    counted = repeated_values(df, test.column).agg(F.count(F.lit(1)).alias("n"))
     return counted.select(F.inline(F.array(_result(test, F.col("n")))))
 
 
