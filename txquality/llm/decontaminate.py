@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txquality.llm import textkit as tk
+from txquality.llm.names import fresh
 from txquality.session import stored
 
 WINDOW_WORDS = 8
@@ -181,10 +182,6 @@ def _field(df: DataFrame, name: str) -> str:
 _TEXT_KEY = "__text_key"
 
 
-def _by_text(df: DataFrame) -> DataFrame:
-    return df.withColumn(_TEXT_KEY, F.xxhash64("text"))
-
-
 def _item_ids(benchmark: DataFrame) -> DataFrame:
     """The ids of each benchmark text."""
     return benchmark.groupBy(F.xxhash64("text").alias("item")).agg(F.collect_set("item_id").alias("item_ids"))
@@ -257,8 +254,9 @@ def verdicts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = by_item.groupBy(F.col("doc_id").alias("__id"), F.col(_TEXT_KEY).alias("__key")).agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("items"), F.max("words").alias("run_words"), F.max("same_values").alias("same_values")
     )
-    rows = _by_text(docs).select("doc_id", _TEXT_KEY)
-    return rows.join(found, _same_document(rows, found), "left").select(
+    rows = docs.select("doc_id", F.xxhash64("text").alias(_TEXT_KEY))
+    same = (F.col(_TEXT_KEY) == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    return rows.join(found, same, "left").select(
         "doc_id",
         F.col("items").isNotNull().alias("contaminated"),
         F.coalesce("items", F.array().cast(f"array<{_field(benchmark, 'item_id')}>")).alias("items"),
@@ -267,12 +265,9 @@ def verdicts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _same_document(rows: DataFrame, found: DataFrame) -> Column:
-    return (rows[_TEXT_KEY] == found["__key"]) & rows["doc_id"].eqNullSafe(found["__id"])
-
-
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without those that hold a benchmark item."""
-    found = _matched(docs, benchmark).select(F.col("doc_id").alias("__id"), F.col(_TEXT_KEY).alias("__key")).distinct()
-    rows = _by_text(docs)
-    return rows.join(found, _same_document(rows, found), "left_anti").drop(_TEXT_KEY)
+    key, found_id, found_key = fresh(docs.columns, _TEXT_KEY, "__id", "__key")
+    found = _matched(docs, benchmark).select(F.col("doc_id").alias(found_id), F.col(_TEXT_KEY).alias(found_key)).distinct()
+    same = (F.col(key) == F.col(found_key)) & F.col("doc_id").eqNullSafe(F.col(found_id))
+    return docs.withColumn(key, F.xxhash64("text")).join(found, same, "left_anti").drop(key)

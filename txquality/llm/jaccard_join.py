@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txquality.llm import textkit as tk
+from txquality.llm.names import fresh
 from txquality.session import stored
 
 PIECE_BYTES = 4 << 20
@@ -452,5 +453,6 @@ def components(docs: DataFrame, n: int, least: tuple[int, int]) -> DataFrame:
 
 def one_of_each(docs: DataFrame, n: int, least: tuple[int, int]) -> DataFrame:
     """The documents without those that links connect with one of a smaller id; rows that share an id stay together."""
-    gone = components(docs, n, least).where("component_id <> doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
+    (removed,) = fresh(docs.columns, "__id")
+    gone = components(docs, n, least).where("component_id <> doc_id").select(F.col("doc_id").alias(removed)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(removed), "left_anti")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txquality.llm import textkit as tk
+from txquality.llm.names import fresh, refuse_taken
 
 WINDOW_LINES = 3
 _KEY, _AT = "__text_key", "__windows"
@@ -77,31 +78,40 @@ def covered_lines(text: str, starts: list[int]) -> tuple[list[str], np.ndarray]:
     return lines, gone
 
 
-def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in tk.pieces(batches):
-        at = batch.schema.get_field_index(_AT)
-        column = batch.schema.get_field_index("text")
-        texts = batch.column(column)
-        starts = batch.column(at)
-        removed = np.zeros(batch.num_rows, np.int64)
-        hit = np.flatnonzero(starts.is_valid().to_numpy(zero_copy_only=False))
-        if len(hit):
-            cut = []
-            for i in hit:
-                lines, gone = covered_lines(texts[i].as_py(), starts[i].as_py())
-                removed[i] = gone.sum()
-                cut.append("\n".join(line for line, drop in zip(lines, gone) if not drop))
-            texts = pac.replace_with_mask(texts, starts.is_valid(), pa.array(cut, texts.type))
-        arrays = [texts if i == column else batch.column(i) for i in range(batch.num_columns) if i != at]
-        names = [name for i, name in enumerate(batch.schema.names) if i != at]
-        yield pa.RecordBatch.from_arrays([*arrays, pa.array(removed)], [*names, "__removed"])
+def _rewrite(starts_at: str, removed_name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tk.pieces(batches):
+            yield _rewritten(batch, starts_at, removed_name)
+
+    return run
+
+
+def _rewritten(batch: pa.RecordBatch, starts_at: str, removed_name: str) -> pa.RecordBatch:
+    at = batch.schema.get_field_index(starts_at)
+    column = batch.schema.get_field_index("text")
+    texts = batch.column(column)
+    starts = batch.column(at)
+    removed = np.zeros(batch.num_rows, np.int64)
+    hit = np.flatnonzero(starts.is_valid().to_numpy(zero_copy_only=False))
+    if len(hit):
+        cut = []
+        for i in hit:
+            lines, gone = covered_lines(texts[i].as_py(), starts[i].as_py())
+            removed[i] = gone.sum()
+            cut.append("\n".join(line for line, drop in zip(lines, gone) if not drop))
+        texts = pac.replace_with_mask(texts, starts.is_valid(), pa.array(cut, texts.type))
+    arrays = [texts if i == column else batch.column(i) for i in range(batch.num_columns) if i != at]
+    names = [name for i, name in enumerate(batch.schema.names) if i != at]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(removed)], [*names, removed_name])
 
 
 def remove_repeated_passages(docs: DataFrame, removed: str | None = None) -> DataFrame:
     """The documents without later places of repeated windows; with the count of removed lines if a column is named."""
-    at = later_windows(docs).withColumnsRenamed({"doc_id": "__id", _KEY: "__hit_key"})
-    keyed = docs.withColumn(_KEY, _text_key())
-    joined = keyed.join(at, keyed["doc_id"].eqNullSafe(at["__id"]) & (keyed[_KEY] == at["__hit_key"]), "left").drop("__id", "__hit_key", _KEY)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__removed", T.LongType())])
-    out = joined.mapInArrow(_rewrite, schema)
-    return out.withColumnRenamed("__removed", removed) if removed else out.drop("__removed")
+    refuse_taken(docs, removed)
+    doc, key, hit_key, starts, count = fresh(docs.columns, "__id", _KEY, "__hit_key", _AT, "__removed")
+    at = later_windows(docs).select(F.col("doc_id").alias(doc), F.col(_KEY).alias(hit_key), F.col(_AT).alias(starts))
+    keyed = docs.withColumn(key, _text_key())
+    joined = keyed.join(at, keyed["doc_id"].eqNullSafe(at[doc]) & (keyed[key] == at[hit_key]), "left").drop(doc, hit_key, key)
+    schema = T.StructType([*docs.schema.fields, T.StructField(count, T.LongType())])
+    out = joined.mapInArrow(_rewrite(starts, count), schema)
+    return out.withColumnRenamed(count, removed) if removed else out.drop(count)

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from txquality.llm import textkit as tk
+from txquality.llm.names import refuse_taken
 
 SPACE = 0x2581
 _OWN_SPACE = 0x110000  # stands for a U+2581 of the text, beyond all code points
@@ -296,7 +297,7 @@ class _Shared:
     """A vocabulary sent to the tasks once, by broadcast."""
 
     def __init__(self, broadcast):
-        self.broadcast, self.id = broadcast, id(broadcast)
+        self.broadcast, self.id = broadcast, broadcast._jbroadcast.id()
 
     @property
     def value(self) -> Vocabulary:
@@ -328,6 +329,7 @@ def _encode(shared: _Shared, checked: bool):
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", round_trip: str | None = None) -> DataFrame:
     """The documents with the ids of their texts; if a column is named, also whether decoding gives the text again."""
+    refuse_taken(docs, ids, round_trip)
     shared = _Shared(docs.sparkSession.sparkContext.broadcast(vocabulary))
     more = [T.StructField("__ids", T.ArrayType(T.IntegerType())), *[T.StructField("__same", T.BooleanType())] * bool(round_trip)]
     out = docs.mapInArrow(_encode(shared, bool(round_trip)), T.StructType([*docs.schema.fields, *more]))
@@ -356,6 +358,7 @@ def _decode(shared: _Shared, ids: str):
 
 def decoded(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """The rows with the texts that their ids stand for."""
+    refuse_taken(rows, text)
     shared = _Shared(rows.sparkSession.sparkContext.broadcast(vocabulary))
     schema = T.StructType([*rows.schema.fields, T.StructField("__text", T.StringType())])
     return rows.mapInArrow(_decode(shared, ids), schema).withColumnRenamed("__text", text)

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txquality.llm import textkit as tk
+from txquality.llm.names import refuse_taken
 from txquality.session import stored
 
 FIT_DOCUMENTS = 12_000
@@ -171,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> Model:
     return Model(weights, thresholds)
 
 
-def _score(model: object):
+def _score(model: object, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, thresholds = model.value.weights, model.value.thresholds
         used = weights != 0
@@ -181,7 +182,7 @@ def _score(model: object):
             row, feature, n = _counted(row[hit], feature[hit])
             s = np.bincount(row, weights[feature] * np.log1p(n), piece.num_rows)
             above = 1 / (1 + np.exp(np.clip(thresholds[None, :] - s[:, None], -500, 500)))
-            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(above.sum(1)), pa.array(above[:, -1])], [*piece.schema.names, "__severity", "__toxic"])
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(above.sum(1)), pa.array(above[:, -1])], [*piece.schema.names, *names])
 
     return run
 
@@ -190,9 +191,10 @@ def scored(docs: DataFrame, model: Model, severity: str = "severity", toxic: str
     """The documents with expected severity (0 to GRADES - 1) and the probability of the highest grade, toxic."""
     from pyspark.sql import types as T
 
+    refuse_taken(docs, severity, toxic)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__severity", T.DoubleType()), T.StructField("__toxic", T.DoubleType())])
-    return docs.mapInArrow(_score(shared), schema).withColumnsRenamed({"__severity": severity, "__toxic": toxic})
+    schema = T.StructType([*docs.schema.fields, T.StructField(severity, T.DoubleType()), T.StructField(toxic, T.DoubleType())])
+    return docs.mapInArrow(_score(shared, [severity, toxic]), schema)
 
 
 def rejected(toxic: str = "p_toxic") -> Column:
