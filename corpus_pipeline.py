@@ -4,7 +4,14 @@ Every stage reads what the one before it kept, as Parquet in the shared folder,
 and its decisions take effect: toxic documents go, repeated passages are cut,
 one document of each group of near copies stays, documents that hold benchmark
 items go, and the rest are encoded. All stages but the last return the columns
-they got.
+they got, whatever their names.
+
+Defined cases, in every stage: a NULL or empty text is a document without content and
+stays (with no ids at the end, NULL ids for a NULL text); NULL in any other column
+changes nothing; rows without an id, or with one that others have, are told apart by
+their texts, but near copies go by id: rows of one id stay or go together, and rows
+without one stay; equal rows stay or go together; an empty table gives an empty one;
+texts may have any length.
 """
 
 from __future__ import annotations
@@ -15,9 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txquality.llm import decontaminate, jaccard_join, line_dedup, pieces, toxicity
+from txquality.llm.names import fresh
 from txquality.llm.queries import vocabulary_path
 from txquality.llm.shipping import importable
-from txquality.session import stored
+from txquality.session import clear_scratch, scratch_made, stored
 
 NEAR_WORDS = 5
 NEAR_LEAST = (8, 10)
@@ -28,17 +36,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model, fitted on the labels, does not reject."""
     model = toxicity.fit(docs, importable(spark).read.parquet(f"{sf_dir}/labels.parquet"))
-    names = docs.columns
-    return toxicity.scored(docs, model, "__severity", "__toxic").where(~toxicity.rejected("__toxic")).select(*names)
+    severity, toxic = fresh(docs.columns, "__severity", "__toxic")
+    return toxicity.scored(docs, model, severity, toxic).where(~toxicity.rejected(toxic)).drop(severity, toxic)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later places of repeated three-line windows removed; a document of which nothing is left goes."""
     importable(spark)
-    names = docs.columns
-    cut = line_dedup.remove_repeated_passages(docs, "__removed").where((F.col("__removed") == 0) | (F.trim("text") != ""))
-    counted = {"n_chars": F.when(F.col("__removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in names else {}
-    return cut.withColumns(counted).select(*names)
+    (removed,) = fresh(docs.columns, "__removed")
+    cut = line_dedup.remove_repeated_passages(docs, removed).where((F.col(removed) == 0) | (F.trim("text") != ""))
+    counted = {"n_chars": F.when(F.col(removed) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return cut.withColumns(counted).drop(removed)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,9 +80,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; a stage's input and inner tables go once its output is written."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = scratch_made()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        clear_scratch(spark, before, keep_last=True)
     return docs

@@ -79,11 +79,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 _MADE: list[str] = []
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete what this process has put into scratch space, once no table that is read from it is needed."""
-    while _MADE:
+def scratch_made() -> int:
+    """How many scratch tables there are; ``clear_scratch`` can begin after them."""
+    return len(_MADE)
+
+
+def clear_scratch(spark: SparkSession, after: int = 0, keep_last: bool = False) -> None:
+    """Delete what this process has put into scratch space, once no table that is read from it is needed.
+
+    Only what was made after the first ``after`` tables goes, and with ``keep_last`` not the last one.
+    """
+    last = [_MADE.pop()] if keep_last and len(_MADE) > after else []
+    while len(_MADE) > after:
         path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _MADE.extend(last)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
