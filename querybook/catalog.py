@@ -15,7 +15,7 @@ from txquality import schemas
 from txquality.functions import money
 from txquality.operators import dedup, merge, profile, table_tests
 from txquality.operators import expectations as ex
-from txquality.plans import bronze, silver, staging, validation, warehouse
+from txquality.plans import bronze, feed, incremental, silver, staging, validation, warehouse
 from txquality.plans.gold import gold
 from txquality.session import scratch_path, stored
 from txquality.sinks import publish, write_partitioned, write_plain
@@ -351,6 +351,32 @@ def bronze_delivery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary
 
 
+def _fed(spark: SparkSession, sf_dir: str) -> str:
+    """A feed run three times: after each of two arrivals of files, some lines cut off, and once more."""
+    arriving, path, progress = (scratch_path(spark, label) for label in ("feed", "bronze", "feed-progress"))
+    loads = fixtures.prepared_transactions(spark, sf_dir)
+    line = F.to_json(F.struct(*schemas.TRANSACTION_COLUMNS))
+    cut = F.when(F.col("k") % 97 == 5, F.concat(F.lit('{"transaction_id": "cut '), F.col("k").cast("string"))).otherwise(line)
+    for chosen in ("copy = 0", "copy > 0", None):
+        if chosen:
+            loads.filter(chosen).select(cut.alias("value")).write.mode("append").text(arriving)
+        feed.run_feed(spark, arriving, path, progress, ingested_at=INGESTED_AT, run_id=RUN_ID)
+    return path
+
+
+@query
+def feed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows of a feed of JSON lines, each file taken once."""
+    rows = bronze.read_bronze_transactions(spark, _fed(spark, sf_dir))
+    return rows.select(*schemas.TRANSACTION_COLUMNS, *schemas.TRANSACTION_FLAGS)
+
+
+@query
+def feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the feed that are no transaction."""
+    return feed.read_rejects(spark, _fed(spark, sf_dir)).select("line")
+
+
 @query
 def raw_load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The load job: both raw tables, their counts and what the reports say."""
@@ -432,6 +458,32 @@ def silver_upsert_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(merge.merge_batch(target, batch, schemas.SILVER_KEY), table, location, "s2")
 
 
+def _in_parts(spark: SparkSession, sf_dir: str) -> str:
+    """Silver in buckets and Gold by day after a first load, later versions of some keys, then those of the others."""
+    path = scratch_path(spark, "warehouse")
+    rows = staged(spark, sf_dir)
+    later = F.col("_ingestion_timestamp") > F.lit(INGESTED_AT)
+    some = F.coalesce(F.pmod(F.xxhash64("transaction_id"), F.lit(10)) == 0, F.lit(False))
+    first = (staged(spark, sf_dir, first_load_only=True), FIRST_LOAD_AT)
+    for number, (load, at) in enumerate((first, (rows.filter(later & some), SECOND_LOAD_AT), (rows.filter(later & ~some), SECOND_LOAD_AT))):
+        incremental.merge_load(spark, load, path, at, f"load-{number}")
+        incremental.refresh_gold(spark, path, GOLD_AT)
+    return path
+
+
+@query
+def silver_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads merged into the buckets that their keys fall into."""
+    return incremental.read_silver(spark, _in_parts(spark, sf_dir)).drop("_silver_loaded_at")
+
+
+@query
+def gold_changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after only the days that each load changed were aggregated again."""
+    rounded = {name: F.round(name, 6) for name in ("avg_amount", "avg_settlement_days")}
+    return incremental.read_gold(spark, _in_parts(spark, sf_dir)).withColumns(rounded)
+
+
 @query
 def silver_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.coverage(staged(spark, sf_dir), silver.is_valid())
@@ -584,6 +636,20 @@ def validation_of_stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.run_validation(spark, path)
 
 
+@query
+def validation_by_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A suite over three deliveries, validated as they come: counts of those seen before are added, not taken again."""
+    path = scratch_path(spark, "bronze")
+    loads = fixtures.prepared_transactions(spark, sf_dir)
+    checks = (*ex.TRANSACTION_SUITE, ex.unique("transaction_id"))
+    for delivery, chosen in (("a", "copy = 0"), ("b", "copy = 0"), ("b", "copy > 0"), ("c", "copy < 0")):
+        source = scratch_path(spark, "source")
+        write_csv(loads.filter(chosen).select(*schemas.TRANSACTION_COLUMNS), f"{source}/transactions.csv")
+        bronze.run_bronze(spark, source, path, INGESTED_AT, RUN_ID, delivery_id=delivery)
+        results = validation.validate_deliveries(spark, path, ex.TRANSACTION_SUITE_NAME, checks)
+    return results
+
+
 def _both_suites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.summarise(validation.validate(bronze_tx(spark, sf_dir), bronze_cust(spark, sf_dir)))
 

@@ -347,6 +347,8 @@ def oracle() -> dict[str, str]:
         ),
         "bronze_ingest_without_customers": _chain(_summary("Transactions", "bronze")),
         "bronze_two_deliveries": _chain(f"select {TX}, {FLAGS} from bronze"),
+        "feed_transactions": _chain(f"select {TX}, {FLAGS} from bronze where k % 97 <> 5"),
+        "feed_rejects": _chain("select '{\"transaction_id\": \"cut ' || cast(k as varchar) as line from tx where k % 97 = 5"),
         "bronze_corrected_delivery": _chain(
             f"select '007' as delivery_id, {TX}, {FLAGS} from bronze where copy = 0 and k % 2 = 0 and substr(created_at, 6, 2) <= '06' "
             f"union all select '1.10', {TX}, {FLAGS} from bronze where copy = 1"
@@ -413,6 +415,7 @@ def oracle() -> dict[str, str]:
             f"cast(round(cast(amount as decimal(28, 10)) * {RATE}, 4) as double) as amount_usd from tx"
         ),
         "silver_enriched": _chain(f"select {SILVER_COLUMNS} from silver"),
+        "silver_buckets": _chain(f"select * exclude (_silver_loaded_at) from (select {SILVER_COLUMNS} from silver)"),
         "silver_upsert": _loads_chain("staged", MERGED),
         "silver_upsert_batch": _loads_chain(
             "(select * from staged where _ingestion_timestamp > timestamp '2024-01-01 00:00:00')", MERGED
@@ -423,6 +426,7 @@ def oracle() -> dict[str, str]:
         ),
         "gold_daily": _chain(GOLD),
         "gold_table": _chain(GOLD),
+        "gold_changed_days": _chain(GOLD),
         "gold_day_currency_totals": _chain(
             "select date_trunc('day', transaction_date_ts)::timestamp as transaction_day, currency, "
             "round(coalesce(sum(amount), 0), 4) as total from bronze "
@@ -443,6 +447,12 @@ def oracle() -> dict[str, str]:
         "suite_transactions": _chain(_transaction_suite()),
         "suite_customers": _chain(_customer_suite()),
         "validation_of_stored_bronze": _chain(_all(_transaction_suite(), _customer_suite())),
+        "validation_by_delivery": _chain(
+            _all(
+                _transaction_suite(),
+                _expect("bronze_transactions", 19, "unique(transaction_id)", "transaction_id", 1.0, _duplicates("bronze", "transaction_id")),
+            )
+        ),
         "suite_summary": _chain(_suite_summary()),
         "validation_verdict": _chain(
             f"select count(*) as suites, bool_and(success) as success from ({_suite_summary()})"

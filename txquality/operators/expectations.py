@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from txquality import schemas
 from txquality.functions.money import ratio
 from txquality.functions.text import number_or_null, quoted
-from txquality.operators.value_groups import SURPLUS, Tested, can_group, count_groups
+from txquality.operators.value_groups import SURPLUS, Tested, can_group, count_groups, grouped, measured
 
 
 @dataclass(frozen=True)
@@ -163,6 +163,58 @@ def run_suite(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def partial_counts(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
+    """The suite's counts for each group of ``by``: one row that ``merged_suite`` can add to others."""
+    return df.groupBy(*by).agg(*(aggregate.alias(name) for name, aggregate in _counts(df, checks).items()))
+
+
+def partial_values(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame | None:
+    """Rows by value for the suite's uniqueness checks, for each group of ``by``; None if it has none."""
+    unique_checks = _unique_checks(df, checks)
+    return grouped(df, _surplus_tests(df, unique_checks), by) if unique_checks else None
+
+
+def merged_suite(
+    df: DataFrame, suite: str, checks: Sequence[Check], counts: DataFrame, values: DataFrame | None
+) -> DataFrame:
+    """What ``run_suite`` gives for a table, from the partial results of its parts.
+
+    Of ``df`` only columns and types are looked at. All counts of a suite add up, and
+    a value is repeated if its counts of all parts add up to more than one.
+    """
+    if not checks:
+        return df.sparkSession.createDataFrame([], RESULT)
+    unique_checks = _unique_checks(df, checks)
+    compiled = {i: (c, _compile(df, c, f"_c{i}")) for i, c in enumerate(checks, 1) if i not in unique_checks}
+    parts = []
+    if compiled:
+        whole = counts.agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in _counts(df, checks)))
+        parts.append(whole.select(F.inline(F.array(*(_result(suite, i, c, done) for i, (c, done) in compiled.items())))))
+    if unique_checks:
+        whole_groups = values.groupBy("test", "value").agg(F.sum("n").alias("n"))
+        names = [f"_c{position}" for position in unique_checks]
+        row = measured(whole_groups, _surplus_tests(df, unique_checks), names)
+        parts.append(row.select(F.inline(F.array(*_unique_rows(suite, unique_checks)))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _counts(df: DataFrame, checks: Sequence[Check]) -> dict[str, Column]:
+    unique_checks = _unique_checks(df, checks)
+    shared: dict[str, Column] = {"_rows": F.count(F.lit(1))}
+    for position, check in enumerate(checks, start=1):
+        if position not in unique_checks:
+            shared |= _compile(df, check, f"_c{position}").aggregates
+    return shared
+
+
+def _unique_checks(df: DataFrame, checks: Sequence[Check]) -> dict[int, Check]:
+    found = {i: c for i, c in enumerate(checks, 1) if c.kind == "unique" and c.column in df.columns}
+    for check in found.values():
+        if not can_group(df, check.column):
+            raise ValueError(f"{check.column} holds values that cannot be counted by part")
+    return found
+
+
 def summarise(results: DataFrame) -> DataFrame:
     """Per suite: totals, success, share of checks passed and the failures in order."""
     failure = F.when(
@@ -297,9 +349,15 @@ def _tolerant(success: Column, rate: Column, label: str, aggregates: dict[str, C
 def _unique_results(df: DataFrame, suite: str, checks: Mapping[int, Check]) -> DataFrame:
     """All uniqueness checks of a suite, from one scan and one shuffle."""
     names = [f"_c{position}" for position in checks]
-    tests = [Tested(SURPLUS, ~_is_missing(df, check.column), check.column) for check in checks.values()]
-    rows = [_result(suite, position, check, _excess(F.col(name))) for (position, check), name in zip(checks.items(), names)]
-    return count_groups(df, tests, names).select(F.inline(F.array(*rows)))
+    return count_groups(df, _surplus_tests(df, checks), names).select(F.inline(F.array(*_unique_rows(suite, checks))))
+
+
+def _surplus_tests(df: DataFrame, checks: Mapping[int, Check]) -> list[Tested]:
+    return [Tested(SURPLUS, ~_is_missing(df, check.column), check.column) for check in checks.values()]
+
+
+def _unique_rows(suite: str, checks: Mapping[int, Check]) -> list[Column]:
+    return [_result(suite, position, check, _excess(F.col(f"_c{position}"))) for position, check in checks.items()]
 
 
 def _excess(excess: Column) -> _Compiled:

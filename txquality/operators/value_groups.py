@@ -42,11 +42,17 @@ def _as_text(df: DataFrame, column: str | None) -> Column:
 
 
 def count_groups(df: DataFrame, tests: Sequence[Tested], names: Sequence[str]) -> DataFrame:
-    """One row with the count of each test under its name.
+    """One row with the count of each test under its name."""
+    return measured(grouped(df, tests), tests, names)
+
+
+def grouped(df: DataFrame, tests: Sequence[Tested], by: Sequence[str] = ()) -> DataFrame:
+    """(by, test, value, n): rows that meet each test's condition, by value.
 
     A row yields an entry for each condition that it meets; entries are counted by
     test and value before the shuffle, so a value that fills the table is one row of
-    each task, and a test that only counts rows is too.
+    each task, and a test that only counts rows is too. Counts of parts of a table,
+    added up by test and value, are those of the whole.
     """
     entries = F.array(
         *(
@@ -54,7 +60,11 @@ def count_groups(df: DataFrame, tests: Sequence[Tested], names: Sequence[str]) -
             for i, t in enumerate(tests)
         )
     )
-    groups = df.select(F.explode(F.array_compact(entries)).alias("entry")).groupBy("entry.test", "entry.value").agg(F.count(F.lit(1)).alias("n"))
+    return df.select(*by, F.explode(F.array_compact(entries)).alias("entry")).groupBy(*by, "entry.test", "entry.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def measured(groups: DataFrame, tests: Sequence[Tested], names: Sequence[str]) -> DataFrame:
+    """One row with the count of each test, from the groups of a whole table."""
     n = F.col("n")
     total = {ROWS: n, VALUES: F.lit(1), REPEATED: (n > 1).cast("int"), SURPLUS: n - 1}
     return groups.agg(

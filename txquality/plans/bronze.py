@@ -102,7 +102,7 @@ def read_bronze_customers(spark: SparkSession, bronze_dir: str) -> DataFrame:
     return spark.read.schema(schemas.BRONZE_CUSTOMERS).parquet(f"{bronze_dir}/customers")
 
 
-def _refuse_other_layout(spark: SparkSession, bronze_dir: str, delivery_id: str | None) -> None:
+def refuse_other_layout(spark: SparkSession, bronze_dir: str, delivery_id: str | None) -> None:
     units = deliveries(bronze_dir)
     by_delivery = path_exists(spark, units.manifest)
     if by_delivery != (delivery_id is not None) and path_exists(spark, units.root):
@@ -142,7 +142,7 @@ def run_bronze(
     path = f"{source_dir}/transactions.csv"
     transactions = if_present(lambda: bronze_transactions(spark, path, ingested_at, run_id))
     if transactions is not None:
-        _refuse_other_layout(spark, bronze_dir, delivery_id)
+        refuse_other_layout(spark, bronze_dir, delivery_id)
         if delivery_id is None:
             seen = Observation()
             write_partitioned(transactions, f"{bronze_dir}/transactions", PARTITION_COLUMNS, rebalance, (seen, issue_counts()))

@@ -6,6 +6,9 @@ counts; readers resolve the table through it. So a unit that is written again, w
 partitions or none, replaces all of its rows at once, a reader never sees half of one, a
 write that fails leaves no trace, and no folder but those that count is ever listed.
 
+A table whose writes each replace many units (``together``) keeps a folder for each write,
+with its units below it; otherwise each unit has a folder, with its writes below it.
+
 Folders of replaced writes stay until ``drop_replaced`` deletes them, so readers that
 have started may finish. One writer per table at a time.
 """
@@ -34,6 +37,7 @@ class Units:
 
     location: str
     column: str
+    together: bool = False
 
     @property
     def root(self) -> str:
@@ -44,7 +48,8 @@ class Units:
         return f"{self.root}/_manifest"
 
     def folder(self, unit: str, attempt: str) -> str:
-        return f"{self.root}/{self.column}={unit}/{ATTEMPT_COLUMN}={attempt}"
+        of_unit, of_write = f"{self.column}={unit}", f"{ATTEMPT_COLUMN}={attempt}"
+        return "/".join((self.root, of_write, of_unit) if self.together else (self.root, of_unit, of_write))
 
     def entries(self, spark: SparkSession) -> DataFrame | None:
         return if_present(lambda: spark.read.schema(_ENTRY).json(self.manifest))
@@ -57,29 +62,60 @@ class Units:
         last = entries.groupBy("unit").agg(F.max_by(F.struct("attempt", "n_rows"), "number").alias("last"))
         return {r["unit"]: (r["last"]["attempt"], r["last"]["n_rows"]) for r in last.collect()}
 
-    def read(self, spark: SparkSession, schema: T.StructType, units: Sequence[str] | None = None) -> DataFrame:
-        """Rows of the units (all of them by default), with the unit's id as text."""
-        full = T.StructType([*schema.fields, T.StructField(self.column, T.StringType()), T.StructField(ATTEMPT_COLUMN, T.StringType())])
+    def _stored(self, schema: T.StructType) -> T.StructType:
+        return T.StructType([*schema.fields, T.StructField(self.column, T.StringType()), T.StructField(ATTEMPT_COLUMN, T.StringType())])
+
+    def read(self, spark: SparkSession, schema: T.StructType, units: Sequence[str] | None = None, with_attempt: bool = False) -> DataFrame:
+        """Rows of the units (all of them by default), with the unit's id as text, and on demand the write they are of."""
+        full, left_out = self._stored(schema), () if with_attempt else (ATTEMPT_COLUMN,)
         chosen = {u: a for u, a in self.current(spark).items() if units is None or u in units}
         paths = [self.folder(unit, attempt) for unit, (attempt, rows) in sorted(chosen.items()) if rows]
         if not paths:
-            return spark.createDataFrame([], full).drop(ATTEMPT_COLUMN)
-        return spark.read.schema(full).option("basePath", self.root).parquet(*paths).drop(ATTEMPT_COLUMN)
+            return spark.createDataFrame([], full).drop(*left_out)
+        return spark.read.schema(full).option("basePath", self.root).parquet(*paths).drop(*left_out)
 
     def replace(self, df: DataFrame, unit: str, partitions: Sequence[str] = (), rebalance: bool = True) -> str:
         """Write ``df`` as the unit's only rows; returns the write's number within the table."""
-        if not re.fullmatch(r"\w[\w.-]*", unit):
-            raise ValueError(f"{self.column} holds letters, digits, dots, dashes and underscores only")
+        self._refuse_bad([unit])
+        if self.together:
+            raise ValueError("units of this table are written many at a time")
         attempt, seen = uuid.uuid4().hex, Observation()
         write_partitioned(df, self.folder(unit, attempt), partitions, rebalance, (seen, {"n_rows": F.count(F.lit(1))}))
-        self._append(df.sparkSession, unit, attempt, seen.get["n_rows"])
+        self._append(df.sparkSession, attempt, {unit: seen.get["n_rows"]})
         return attempt
 
-    def _append(self, spark: SparkSession, unit: str, attempt: str, rows: int) -> None:
+    def replace_each(self, df: DataFrame, units: Sequence[str], sort: Sequence[str] = ()) -> str:
+        """Write ``df`` as the only rows of all the units named, by its unit column; one without a row becomes empty.
+
+        One write, and one entry in the manifest for all of them, so that readers see all
+        units change at once. Rows are shuffled by unit (a large one is split among tasks)
+        and lie in the order of ``sort``. A row of a unit not named is an error.
+        """
+        self._refuse_bad(units)
+        if not self.together:
+            raise ValueError("units of this table are written one at a time")
+        spark, attempt = df.sparkSession, uuid.uuid4().hex
+        wrong = F.raise_error(F.concat(F.lit(f"a row of another {self.column}: "), F.coalesce(F.col(self.column), F.lit("NULL"))))
+        known = F.coalesce(F.col(self.column).isin(list(units)), F.lit(False))
+        checked = df.filter(F.when(known, F.lit(True)).otherwise(wrong.cast("boolean"))) if units else df.limit(0)
+        laid_out = checked.hint("rebalance", self.column).sortWithinPartitions(self.column, *sort)
+        folder = f"{self.root}/{ATTEMPT_COLUMN}={attempt}"
+        laid_out.write.partitionBy(self.column).parquet(folder)
+        written = spark.read.schema(self._stored(T.StructType())).option("basePath", self.root).parquet(folder)
+        rows = {r[self.column]: r["count"] for r in written.groupBy(self.column).count().collect()}
+        self._append(spark, attempt, {unit: rows.get(unit, 0) for unit in units})
+        return attempt
+
+    def _refuse_bad(self, units: Sequence[str]) -> None:
+        if not all(re.fullmatch(r"\w[\w.-]*", unit) for unit in units):
+            raise ValueError(f"{self.column} holds letters, digits, dots, dashes and underscores only")
+
+    def _append(self, spark: SparkSession, attempt: str, rows: dict[str, int]) -> None:
         entries = self.entries(spark)
         last = entries.agg(F.max("number")).first()[0] if entries is not None else 0
-        entry = spark.range(1).select(F.lit(last + 1).cast("long").alias("number"), F.lit(unit).alias("unit"), F.lit(attempt).alias("attempt"), F.lit(rows).cast("long").alias("n_rows"))
-        entry.coalesce(1).write.mode("append").json(self.manifest)
+        new = [((last or 0) + 1, unit, attempt, many) for unit, many in rows.items()]
+        if new:
+            spark.createDataFrame(new, _ENTRY).coalesce(1).write.mode("append").json(self.manifest)
 
     def drop_replaced(self, spark: SparkSession) -> int:
         """Delete the folders of writes that a later one of the same unit has replaced; how many there were."""
