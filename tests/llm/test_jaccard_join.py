@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from txquality.llm import jaccard_join as jj
@@ -97,3 +98,54 @@ def test_chains_are_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100)], "a long, b long")
     roots = {r.node: r.root for r in jj.connected(edges).collect()}
     assert roots == {**{i: 0 for i in range(1, 61)}, 101: 100}
+
+
+def connected_by(links, n):
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    return [min(j for j in range(n) if find(j) == find(i)) for i in range(n)]
+
+
+@pytest.mark.parametrize("least", [(9, 10), (8, 10), (1, 2)])
+@pytest.mark.parametrize("pool", [12, 25, 80, 4000])
+def test_a_region_is_connected_as_by_all_pairs(least, pool):
+    draw, (num, den) = random.Random(pool), least
+    sets = set()
+    for _ in range(25):
+        base = [draw.randrange(pool) for _ in range(draw.randrange(1, 40))]
+        for _ in range(draw.randrange(1, 8)):
+            sets.add(frozenset(draw.randrange(pool) if draw.random() < 0.04 else x for x in base))
+    sets = sorted(sets, key=sorted)
+    found = jj.region_links(jj._Members([np.array(sorted(s), np.uint64).tobytes() for s in sets]), least)
+    linked = lambda a, b: len(a & b) * den >= num * len(a | b)
+    assert all(linked(sets[a], sets[b]) for a, b in found)
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if linked(sets[i], sets[j])]
+    assert connected_by(found, len(sets)) == connected_by(pairs, len(sets))
+
+
+def test_many_short_sets_with_one_opening_are_no_work(monkeypatch):
+    draw, compared = np.random.default_rng(3), []
+    opening = np.array([1, 2, 3], np.uint64)
+    blobs = [np.sort(np.concatenate((opening, draw.integers(10, 1 << 62, 9).astype(np.uint64)))).tobytes() for _ in range(100_000)]
+    common = jj._Members.common
+    monkeypatch.setattr(jj._Members, "common", lambda self, pivot, some: (compared.append(len(some)), common(self, pivot, some))[1])
+    assert jj.region_links(jj._Members(blobs), (9, 10)) == [] and sum(compared) <= jj.STORED_PIVOTS * len(blobs)
+
+
+def test_sets_too_small_to_link_are_not_looked_for(make):
+    assert [jj.least_linking(x) for x in ((9, 10), (8, 10), (1, 2), (90, 100))] == [9, 4, 1, 9]
+    # 11 and 12 words give 9 and 10 shingles and link; 10 and 11 words give 8 and 9 and do not
+    words = [f"w{i}" for i in range(12)]
+    texts = [" ".join(words), " ".join(words[:11]), " ".join(words[:10]), " ".join(words[:10]), "a b", "A b", "a"]
+    check(make(texts), 3, (9, 10))
+
+
+def test_links_of_equal_sets_only(make):
+    check(make(families(4)[:30] + families(4)[:5]), 3, (1, 1))

@@ -3,7 +3,8 @@
 Jaccard distance is a metric, so a document at distance d from a pivot links
 (distance at most e) only with documents at distances d - e to d + e from it.
 
-1. Documents with equal sets are one class; only classes are joined.
+1. Documents with equal sets are one class; only classes are joined, and of these
+   none whose set is so small that only an equal one could link (``least_linking``).
 2. Regions. Most texts are at distance near 1 from every document but their
    near copies, so pivots that are drawn at random part nothing. Pivots are
    therefore found among documents that share rare n-grams: the n-grams of a
@@ -20,8 +21,8 @@ Jaccard distance is a metric, so a document at distance d from a pivot links
    they are small; a region that pivots do not part (its cells overlap too much)
    is joined whole, every two blocks of it in a task.
 4. A small region is joined exactly in its task: pivot after pivot, comparing
-   only documents within the windows of all earlier pivots, that are of fitting
-   size and not connected yet.
+   only documents that share one of the region's rare n-grams with it, lie within
+   the windows of the first pivots, are of fitting size and not connected yet.
 5. Links are connected by large-star and small-star rounds.
 
 The result is exact: links are verified on whole sets of 64-bit hashes with
@@ -116,6 +117,12 @@ def prefix_sizes(size: np.ndarray, least: tuple[int, int]) -> tuple[np.ndarray,
     return counted, np.maximum(counted - extra(common) + 1, np.minimum(size, 1))
 
 
+def least_linking(least: tuple[int, int]) -> int:
+    """The size from which a set can link with another that is not equal: i of at least i + 1 elements in common."""
+    num, den = least
+    return -(-num // (den - num)) if num < den else np.iinfo(np.int64).max
+
+
 def _read(n: int, least: tuple[int, int], owners: int):
     """Of each piece: its documents' sizes and set keys; and, for each owner, the n-grams to count."""
 
@@ -136,7 +143,7 @@ def _read(n: int, least: tuple[int, int], owners: int):
                 names,
             )
             counted, _ = prefix_sizes(size, least)
-            counted = np.where(first, counted, 0)
+            counted = np.where(first & (size >= least_linking(least)), counted, 0)
             at = tk.ragged(bounds[:-1], counted)
             keys, doc = grams[at], np.repeat(np.arange(rows), counted)
             order = np.argsort(keys, kind="stable")
@@ -242,40 +249,86 @@ class _Members:
         return hit[ends] - hit[ends - self.sizes[some]]
 
 
+class _Groups:
+    """Members by what links have connected; the smaller of two groups is renamed, so all unions cost n log n."""
+
+    def __init__(self, n: int):
+        self.of, self.left = np.arange(n), n
+        self._members: dict[int, list[int]] = {}
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = int(self.of[a]), int(self.of[b])
+        if a == b:
+            return False
+        into, out = self._members.pop(a, [a]), self._members.pop(b, [b])
+        if len(into) < len(out):
+            into, out, a = out, into, b
+        self.of[out] = a
+        into.extend(out)
+        self._members[a] = into
+        self.left -= 1
+        return True
+
+
+def _rare_postings(members: _Members, least: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """An inverted index of each member's rarest elements of the region, as many as its prefix takes.
+
+    Two members that link share one of them (the prefix principle in the region's own
+    order of rarity). Returned are the members by element, where each element's
+    postings end, and each member's places in the postings with their bounds.
+    """
+    num, den = least
+    n = len(members.sizes)
+    row = np.repeat(np.arange(n), members.sizes)
+    _, element, times = np.unique(members.flat, return_inverse=True, return_counts=True)
+    order = np.lexsort((element, times[element], row))
+    rank = np.arange(len(row)) - np.repeat(members.at, members.sizes)
+    prefix = members.sizes - -(-members.sizes * num // den) + 1
+    chosen = order[(rank < prefix[row]) & (times[element[order]] > 1)]
+    chosen = chosen[np.lexsort((row[chosen], element[chosen]))]
+    element, row = element[chosen], row[chosen]
+    ends = np.searchsorted(element, element, side="right")
+    places = np.argsort(row, kind="stable")
+    return row, ends, places, np.searchsorted(row[places], np.arange(n + 1))
+
+
 def region_links(members: _Members, least: tuple[int, int]) -> list[tuple[int, int]]:
-    """Links that connect all members which links connect."""
+    """Links that connect all members which links connect.
+
+    Every member is a pivot once. It is compared only with later members that share a rare
+    element with it, lie within the windows of the first pivots, are of fitting size and
+    are not connected with it yet.
+    """
     num, den = least
     n = len(members.sizes)
     reach = 1 - num / den + 1e-9
-    group = np.arange(n)
-    live = members.sizes > 0
+    if n < 2 or not len(members.flat):
+        return []
+    postings, ends, places, bounds = _rare_postings(members, least)
+    groups = _Groups(n)
     seen: list[np.ndarray] = []
     links = []
-    for pivot in range(n):
-        if not live[pivot]:
-            continue
-        live[pivot] = False
-        some = np.flatnonzero(live)
-        if not len(some):
-            break
+    has_later = np.zeros(n, bool)
+    has_later[postings[np.arange(len(postings)) + 1 < ends]] = True
+    for pivot in np.flatnonzero(has_later).tolist():
         size = members.sizes[pivot]
-        store = len(seen) < STORED_PIVOTS
-        fits = (group[some] != group[pivot]) & (members.sizes[some] * den >= size * num) & (size * den >= members.sizes[some] * num)
+        if len(seen) < STORED_PIVOTS:
+            later = np.arange(pivot + 1, n)
+            shared = members.common(members.one(pivot), later)
+            far = np.zeros(n)
+            far[later] = 1 - shared / (size + members.sizes[later] - shared)
+            seen.append(far)
+        look = np.concatenate([postings[at + 1 : ends[at]] for at in places[bounds[pivot] : bounds[pivot + 1]].tolist()])
+        fits = (groups.of[look] != groups.of[pivot]) & (members.sizes[look] * den >= size * num) & (size * den >= members.sizes[look] * num)
         for d in seen:
-            fits &= np.abs(d[some] - d[pivot]) <= reach
-        look = some if store else some[fits]
+            fits &= np.abs(d[look] - d[pivot]) <= reach
+        look = np.unique(look[fits])
+        if not len(look):
+            continue
         common = members.common(members.one(pivot), look)
         union = size + members.sizes[look] - common
-        if store:
-            d = np.zeros(n)
-            d[look] = 1 - common / union
-            seen.append(d)
-        for i in look[common * den >= union * num]:
-            if group[i] != group[pivot]:
-                links.append((pivot, int(i)))
-                group[group == group[i]] = group[pivot]
-        rest = group[live]
-        if not len(rest) or (rest == rest[0]).all():
+        links.extend((pivot, i) for i in look[common * den >= union * num].tolist() if groups.join(pivot, i))
+        if groups.left == 1:
             break
     return links
 
