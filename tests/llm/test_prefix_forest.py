@@ -1,7 +1,10 @@
+import os
+
 import numpy as np
 
 from txquality.llm import prefix_forest as pf
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
@@ -67,3 +70,40 @@ def test_empty_tables(spark):
     df = table(spark, [(0, [1.0, 0.0])])
     assert pf.search(df.limit(0), df.limit(0), "vec_id", "embedding").collect() == []
     assert pf.search(df, df, "vec_id", "embedding").collect() == []
+
+
+def test_fitted_share_reaches_the_recall_on_random_directions_and_is_small_on_clusters(spark):
+    rng = np.random.default_rng(4)
+    uniform = rng.standard_normal((3000, 64))
+    clusters = rng.standard_normal((300, 64))[rng.integers(0, 300, 3000)] + 0.05 * rng.standard_normal((3000, 64))
+    shares = []
+    for points in (uniform, clusters):
+        points = points / np.linalg.norm(points, axis=1, keepdims=True)
+        points = points.astype(np.float32).astype(float)
+        df = table(spark, [(i, p.tolist()) for i, p in enumerate(points)])
+        seen, fit = [], pf.fitted_share
+        pf.fitted_share = lambda *a: seen.append(fit(*a)) or seen[-1]
+        try:
+            found = {(r.query_id, r.vec_id) for r in pf.search(df, df.where("vec_id % 100 = 0"), "vec_id", "embedding").collect()}
+        finally:
+            pf.fitted_share = fit
+        shares += seen
+        want = {(q, v) for q in range(0, 3000, 100) for v, _ in nearest(points, np.arange(3000), q)}
+        assert len(found) == 300 and len(found & want) >= 0.9 * len(want)
+    assert shares[0] < 0.1 and shares[1] < 0.01
+
+
+def test_registered_query_has_recall_on_the_whole_table(spark):
+    from txquality.llm import queries
+
+    rows = pf.usable(spark.read.parquet(f"{SF_DIR}/embeddings.parquet").where("vec_id is not null"), "embedding").select("vec_id", "v").collect()
+    ids, points = np.array([r.vec_id for r in rows]), np.array([r.v for r in rows])
+    found = {(r.query_id, r.vec_id) for r in queries.op5_prefix_forest(spark, SF_DIR).collect()}
+    want = {(int(ids[q]), v) for q in np.flatnonzero(ids % 100 == 0) for v, _ in nearest(points, ids, q)}
+    assert len(found) == len(want) and len(found & want) >= 0.9 * len(want)
+
+
+def test_a_query_id_with_several_vectors_asks_with_the_smallest(spark):
+    df = table(spark, [(0, [9.0, 9.0]), (0, [1.0, 1.0]), *[(i, [1.0, 1.0 + i]) for i in range(1, 15)]])
+    rows = sorted((r.rank, r.vec_id) for r in pf.search(df, df.where("vec_id = 0"), "vec_id", "embedding").collect())
+    assert rows == [(i, i) for i in range(1, 11)]
