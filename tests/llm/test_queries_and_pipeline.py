@@ -1,4 +1,8 @@
+import math
 import os
+import re
+import zlib
+from collections import Counter
 
 import duckdb
 import pyarrow.parquet as pq
@@ -78,3 +82,31 @@ def test_pipeline_stage_by_stage(spark):
 def test_pipeline_runs_whole(spark):
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     assert rows and all(r.n_ids == len(r.ids) for r in rows)
+
+
+def test_base_columns_of_the_language_model_match_plain_counts(spark):
+    docs = pq.read_table(f"{SF_DIR}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    tokens = {d["doc_id"]: [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), d["text"] or "")), None] for d in docs}
+    held = {i for i in tokens if zlib.crc32(str(i).encode()) % 7 == 2}
+    seen = Counter(t for i, ts in tokens.items() if i not in held for t in ts)
+    n, v = sum(seen.values()), len(seen)
+    rows = queries.op1_interpolated_lm(spark, SF_DIR).collect()
+    assert len(rows) == len(docs) == len(tokens)
+    for r in rows:
+        ts = tokens[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (r.doc_id in held, len(ts), sum(t in seen for t in ts), n)
+        assert math.isclose(r.base_score, math.fsum(math.log10((seen[t] + 1) / (n + 1 * (v + 1))) for t in ts), rel_tol=1e-9)
+
+
+def test_stages_keep_odd_rows_that_are_clean(spark, odd):
+    """NULL and empty texts, a NULL id and a repeated row pass every stage but the near copies' choice; an empty table stays empty."""
+    clean = {None, "", " ", "one", "two words"}
+    odd = odd.withColumnRenamed("size", "severity").withColumn("__id", odd["doc_id"])
+    for name, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, odd, SF_DIR).collect()
+        assert stage(spark, odd.limit(0), SF_DIR).collect() == []
+        if name == "sentencepiece":
+            assert len(rows) == odd.count() and {r.doc_id for r in rows if r.ids is None} == {r.doc_id for r in odd.collect() if r.text is None}
+        else:
+            assert list(rows[0].asDict()) == odd.columns and clean <= {r.text for r in rows}
+            assert sum(r.text is None or r.text == "one" for r in rows) == sum(r.text is None or r.text == "one" for r in odd.collect())

@@ -71,3 +71,40 @@ def test_whole_text_counts(spark, make):
     model = tx.fit(docs, spark.createDataFrame(labels, LABELS))
     rows = {r.doc_id: r.p_toxic for r in tx.scored(docs, model).where(F.col("doc_id") >= 600).collect()}
     assert rows[600] > 0.5 > rows[601]
+
+
+def test_no_step_from_the_fit_raises_the_likelihood_of_several_features():
+    rng = np.random.default_rng(5)
+    x = rng.random((3000, 4)) * (rng.random((3000, 4)) < 0.5)
+    grade = np.digitize(x @ [2.0, -1.0, 0.5, 0.0] + rng.logistic(size=3000), [-0.5, 1.0])
+    row, column = np.nonzero(x)
+    w, thresholds = tx.fit_ordinal(row, column, x[row, column], grade, 4, 3)
+
+    def likelihood(w, thresholds):
+        total = 0.0
+        for score, k in zip(x @ w, grade):
+            up = 1 / (1 + np.exp(score - thresholds[k])) if k < 2 else 1.0
+            down = 1 / (1 + np.exp(score - thresholds[k - 1])) if k > 0 else 0.0
+            total += np.log(up - down)
+        return total / len(grade) - tx.RIDGE / 2 * (w**2).sum()
+
+    top = likelihood(w, thresholds)
+    for i in range(4):
+        for step in (-0.05, 0.05):
+            assert likelihood(w + step * (np.arange(4) == i), thresholds) < top
+    for i in range(2):
+        for step in (-0.05, 0.05):
+            assert likelihood(w, thresholds + step * (np.arange(2) == i)) < top
+
+
+def test_scores_match_a_plain_sum_over_each_text(spark, make):
+    texts, labels = corpus(400, 6)
+    docs = make(texts)
+    model = tx.fit(docs, spark.createDataFrame(labels, LABELS))
+    for r in tx.scored(docs, model).collect():
+        raw = r.text.encode()
+        _, found = tx.features(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        counts = {f: found.tolist().count(f) for f in set(found.tolist())}
+        score = sum(model.weights[f] * np.log(1 + n) for f, n in counts.items())
+        above = [1 / (1 + np.exp(t - score)) for t in model.thresholds]
+        assert abs(r.severity - sum(above)) < 1e-9 and abs(r.p_toxic - above[1]) < 1e-9
