@@ -139,3 +139,21 @@ def test_registered_query(spark, files, sides):
     docs = [(r["doc_id"], r["text"]) for r in pq.read_table(f"{SF_DIR}/documents.parquet", columns=["doc_id", "text"]).to_pylist()]
     rows = queries.op11_token_alignment(spark, SF_DIR).select(*COLUMNS).collect()
     assert sorted((tuple(r) for r in rows), key=str) == brute(docs, sides)
+
+
+def test_steps_on_tokens_keep_no_table_of_documents(files, monkeypatch):
+    """Starts run on over the texts of a batch, so neither a key nor a search for doubles is needed."""
+    merged = []
+    merge_asof = token_alignment.pd.merge_asof
+    monkeypatch.setattr(token_alignment.pd, "merge_asof", lambda *sides, **how: merged.append(how) or merge_asof(*sides, **how))
+    monkeypatch.setattr(token_alignment.pd.DataFrame, "drop_duplicates", lambda *_: pytest.fail("overlaps are compared as rows"))
+    coders = token_alignment.Encoders(files)
+    texts = ["", "unbelievable alignment", "", "zażółć", "two  spaces", "zażółć", ""]
+    together = token_alignment.Alignment(coders, texts)
+    assert merged == [{"on": "start"}] * 2
+    alone = [token_alignment.Alignment(coders, [t]) for t in texts]
+    assert together.digests() == [a.digests()[0] for a in alone]
+    assert together.links().tolist() == [a.links()[0] for a in alone] and together.n_overlaps.tolist() == [a.n_overlaps[0] for a in alone]
+    rows, pairs, n = together.pairs()
+    assert [(r, p, k) for r, a in enumerate(alone) for _, p, k in zip(*a.pairs())] == list(zip(rows, pairs, n))
+    assert not len(token_alignment.Alignment(coders, ["", ""]).pairs()[0])

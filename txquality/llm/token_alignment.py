@@ -1,8 +1,9 @@
 """Tokens of two tokenizers aligned over the bytes of a text.
 
-``pandas.merge_asof``, keyed by document, finds for each token's start the other
-side's token that covers it; the union of both directions is all overlaps. An overlap
-whose two ends are equal closes a group. All tokens of a group are linked, first side
+``pandas.merge_asof`` finds for each token's start the other side's token that covers it;
+the union of both directions is all overlaps. The texts of a batch are laid end to end and
+both sides spell the same bytes, so a start lies in one text only. An overlap whose two
+ends are equal closes a group. All tokens of a group are linked, first side
 with second.
 
 One pass encodes the texts and stores, for each document, its digest columns and the
@@ -27,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
 
@@ -127,45 +128,56 @@ class Encoders:
         flat = [p for ps in parts for p in ps]
         first = [self.first.encode_ordinary(f" {p}") for p in flat]
         second = self.second.encode(flat, num_threads=1) if flat else []
-        owner = np.concatenate(([0], np.cumsum([len(ps) for ps in parts]))).astype(np.int64)
+        owner = _bounds([len(ps) for ps in parts])
         wanted = [f" {t}".encode() if t else b"" for t in texts]
-        sides = []
-        for lists, token_bytes in ((first, self.first_bytes), (second, self.second_bytes)):
-            ids = np.fromiter(chain.from_iterable(lists), np.int64)
-            counts = np.concatenate(([0], np.cumsum([len(ids) for ids in lists]))).astype(np.int64)
-            bounds = counts[owner]
-            sides.append((ids, bounds, [token_bytes[i] for i in ids.tolist()]))
-        same = np.array([all(b"".join(tokens[bounds[r] : bounds[r + 1]]) == want for _, bounds, tokens in sides) for r, want in enumerate(wanted)], bool)
+        sides, same = [], np.ones(len(texts), bool)
+        for lists, token_bytes, sizes in ((first, self.first_bytes, self.first_size), (second, self.second_bytes, self.second_size)):
+            held = list(chain.from_iterable(lists))
+            ids = np.array(held, np.int64)
+            bounds = _bounds([len(ids) for ids in lists])[owner]
+            spelled = b"".join(map(token_bytes.__getitem__, held))
+            at = _bounds(sizes[ids])[bounds].tolist()
+            same &= np.array([spelled[s:e] == want for s, e, want in zip(at, at[1:], wanted)], bool)
+            sides.append((ids, bounds))
         out = []
-        for ids, bounds, _ in sides:
+        for ids, bounds in sides:
             held = np.diff(bounds) * same
             out += [ids[np.repeat(same, np.diff(bounds))], np.concatenate(([0], np.cumsum(held)))]
         return tuple(out)
 
 
-def overlaps(first: pd.DataFrame, second: pd.DataFrame) -> pd.DataFrame:
-    """Pairs (i, j) of tokens whose bytes overlap, from tokens (doc, start) of both sides in order."""
-    a, b = first.assign(i=np.arange(len(first))), second.assign(j=np.arange(len(second)))
-    covering_a = pd.merge_asof(a, b, on="start", by="doc")[["i", "j"]]
-    covering_b = pd.merge_asof(b, a, on="start", by="doc")[["i", "j"]]
-    return pd.concat([covering_a, covering_b]).astype("int64").drop_duplicates()
+def overlaps(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of tokens whose bytes overlap, from the starts of both sides' tokens in order."""
+    a, b = pd.DataFrame({"start": first, "i": np.arange(len(first))}), pd.DataFrame({"start": second, "j": np.arange(len(second))})
+    covering_a = pd.merge_asof(a, b, on="start")
+    covering_b = pd.merge_asof(b, a, on="start")
+    # two tokens that start together are found from both sides
+    later = covering_b["start"].to_numpy() > first[covering_b["i"].to_numpy()]
+    return tuple(np.concatenate([covering_a[side].to_numpy(), covering_b[side].to_numpy()[later]]) for side in ("i", "j"))
 
 
-def _starts(size: np.ndarray) -> np.ndarray:
-    return np.cumsum(size) - size
+def _bounds(sizes: Sequence[int] | np.ndarray) -> np.ndarray:
+    """Where runs of these sizes start, and the end of the last."""
+    out = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=out[1:])
+    return out
 
 
 def _collapsed(ids: np.ndarray, group: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct ids of each group with their number, and the groups' bounds."""
     codes, n = np.unique(group << _DOC_BITS | ids, return_counts=True)
-    return codes & ((1 << _DOC_BITS) - 1), n, np.searchsorted(codes >> _DOC_BITS, np.arange(groups + 1))
+    return codes & ((1 << _DOC_BITS) - 1), n, _bounds(np.bincount(codes >> _DOC_BITS, minlength=groups))
 
 
-def _summed(codes: np.ndarray, pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((pairs, codes))
-    codes, pairs, n = codes[order], pairs[order], n[order]
-    new = np.flatnonzero(np.concatenate(([True], (codes[1:] != codes[:-1]) | (pairs[1:] != pairs[:-1]))))
-    return codes[new], pairs[new], np.add.reduceat(n, new)
+def _summed(rows: np.ndarray, pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Occurrences by row and pair, from entries whose rows are in order."""
+    if len(rows) and int(rows[-1]).bit_length() + int(pairs.max()).bit_length() < 64:
+        order = np.argsort(rows << int(pairs.max()).bit_length() | pairs)
+    else:
+        order = np.lexsort((pairs, rows))
+    rows, pairs, n = rows[order], pairs[order], n[order]
+    new = np.flatnonzero(np.concatenate(([True], (rows[1:] != rows[:-1]) | (pairs[1:] != pairs[:-1]))))
+    return rows[new], pairs[new], np.add.reduceat(n, new)
 
 
 class Alignment:
@@ -176,19 +188,17 @@ class Alignment:
         self.a, self.a_bounds, self.b, self.b_bounds = coders.encode(texts)
         a_size, b_size = coders.first_size[self.a], coders.second_size[self.b]
         # both sides spell the same bytes, so starts run on from text to text
-        a_start, b_start = _starts(a_size), _starts(b_size)
-        docs = np.arange(self.rows)
-        self.a_doc, self.b_doc = np.repeat(docs, np.diff(self.a_bounds)), np.repeat(docs, np.diff(self.b_bounds))
-        met = overlaps(pd.DataFrame({"doc": self.a_doc, "start": a_start}), pd.DataFrame({"doc": self.b_doc, "start": b_start}))
-        self.n_overlaps = np.bincount(self.a_doc[met["i"]], minlength=self.rows)
-        a_end, b_end = (a_start + a_size)[met["i"]], (b_start + b_size)[met["j"]]
-        closing = met["i"].to_numpy()[a_end == b_end]
-        ends = np.sort((a_start + a_size)[closing])
-        self.a_group, self.b_group = np.searchsorted(ends, a_start, "right"), np.searchsorted(ends, b_start, "right")
-        self.groups = len(ends)
-        self.group_doc = self.a_doc[np.sort(closing)]
-        self.a_first = np.searchsorted(self.a_group, np.arange(self.groups + 1))
-        self.b_first = np.searchsorted(self.b_group, np.arange(self.groups + 1))
+        a_start, b_start = _bounds(a_size)[:-1], _bounds(b_size)[:-1]
+        a_doc = np.repeat(np.arange(self.rows), np.diff(self.a_bounds))
+        i, j = overlaps(a_start, b_start)
+        self.n_overlaps = np.bincount(a_doc[i], minlength=self.rows)
+        closing = (a_start + a_size)[i] == (b_start + b_size)[j]
+        # the last tokens of the groups on both sides; a group begins where the one before it is closed
+        a_last, b_last = np.sort(i[closing]), np.sort(j[closing])
+        self.groups = len(a_last)
+        self.group_doc = a_doc[a_last]
+        self.a_first, self.b_first = (np.concatenate(([0], last + 1)) for last in (a_last, b_last))
+        self.a_group, self.b_group = (np.repeat(np.arange(self.groups), np.diff(first)) for first in (self.a_first, self.b_first))
 
     def digests(self) -> list[str]:
         """SHA-256 of the groups as text: ids of both sides, group after group."""
