@@ -1,5 +1,6 @@
 """Loads that rewrite only what they touch: Silver's buckets, Gold's days, a suite's counts by delivery."""
 
+import glob
 import os
 import uuid
 from datetime import datetime, timedelta, timezone
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from querybook.catalog import write_csv
 from tests.helpers import AT, clean_rows, dirty_rows, one, plan, raw, staged_of
-from txquality import schemas
+from txquality import schemas, units
 from txquality.operators import expectations as ex
 from txquality.plans import bronze, incremental, validation
 from txquality.plans.gold import gold
@@ -191,3 +192,22 @@ def test_only_new_deliveries_are_scanned(spark, tmp_path):
 def test_without_deliveries_there_is_nothing_to_validate(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         validation.validate_deliveries(spark, f"{tmp_path}/bronze")
+
+
+def test_rows_by_value_are_written_and_added_up_in_tasks_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """Rows are a few bytes each as shuffled, so tasks are sized by rows, whatever their bytes."""
+    monkeypatch.setattr(units, "ROWS_PER_TASK", 50)
+    many = [{"transaction_id": f"t{i}", "amount": 1.0 + i % 7} for i in range(400)]
+    deliver(spark, tmp_path, "large", *many)
+    for name in ("s1", "s2", "s3"):
+        deliver(spark, tmp_path, name, *many[:5], {"transaction_id": name})
+    checks = (ex.unique("transaction_id"), ex.no_nulls("amount"))
+    parts, whole = both(spark, tmp_path, checks)
+    assert parts == whole and [r[5] for r in parts if r[1] == 1] == [15.0]
+    (home,) = os.listdir(f"{tmp_path}/bronze/validation")
+    files = spark.read.parquet(*glob.glob(f"{tmp_path}/bronze/validation/{home}/values/_attempt=*")).groupBy(F.input_file_name().alias("file")).count().collect()
+    of = lambda name: [r["count"] for r in files if f"_delivery_id={name}/" in r["file"]]
+    # the large delivery is split, a small one is not
+    assert len(of("large")) == 8 and max(of("large")) < 100 and sum(of("large")) == 400
+    assert [of(name) for name in ("s1", "s2", "s3")] == [[6]] * 3
+    assert "REPARTITION_BY_NUM" in plan(validation.validate_deliveries(spark, f"{tmp_path}/bronze", "s", checks))

@@ -11,7 +11,7 @@ from txquality import schemas
 from txquality.operators import expectations as ex
 from txquality.plans.bronze import DELIVERY_COLUMN, deliveries, read_bronze_customers, read_bronze_transactions
 from txquality.sources.files import if_present, read_csv_folder, union_all
-from txquality.units import ATTEMPT_COLUMN, Units
+from txquality.units import ATTEMPT_COLUMN, Units, tasks_for
 
 
 def validate_transactions(df: DataFrame) -> DataFrame:
@@ -82,10 +82,16 @@ def validate_deliveries(
     if stale:
         rows = _of_writes(data, spark, stale)
         if value_rows is not None:
-            values.replace_each(ex.partial_values(rows, checks, by), stale)
+            tests = sum(check.kind == "unique" for check in checks)
+            at_most = {unit: delivered[unit][1] * tests for unit in stale}
+            values.replace_each(ex.partial_values(rows, checks, by), stale, at_most=at_most, spread=["test", "value"])
         # last, as the counts say which deliveries have been scanned
         counts.replace_each(ex.partial_counts(rows, checks, by), stale)
-    found = values.read(spark, value_schema) if value_rows is not None else None
+    found = None
+    if value_rows is not None:
+        # tasks by rows, as they are written: a value comes once from each delivery, so counting before the shuffle saves little
+        held = sum(rows for _, rows in values.current(spark).values())
+        found = values.read(spark, value_schema).repartition(tasks_for(held), "test", "value")
     return ex.merged_suite(columns, suite, checks, counts.read(spark, count_schema), found)
 
 

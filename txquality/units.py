@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -29,6 +29,12 @@ from txquality.sources.files import if_present
 
 ATTEMPT_COLUMN = "_attempt"
 _ENTRY = "number long, unit string, attempt string, n_rows long"
+# narrow rows that a task is to hold: some 100 MB in memory
+ROWS_PER_TASK = 500_000
+
+
+def tasks_for(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_TASK))
 
 
 @dataclass(frozen=True)
@@ -84,12 +90,23 @@ class Units:
         self._append(df.sparkSession, attempt, {unit: seen.get["n_rows"]})
         return attempt
 
-    def replace_each(self, df: DataFrame, units: Sequence[str], sort: Sequence[str] = ()) -> str:
+    def replace_each(
+        self,
+        df: DataFrame,
+        units: Sequence[str],
+        sort: Sequence[str] = (),
+        at_most: Mapping[str, int] | None = None,
+        spread: Sequence[str] = (),
+    ) -> str:
         """Write ``df`` as the only rows of all the units named, by its unit column; one without a row becomes empty.
 
         One write, and one entry in the manifest for all of them, so that readers see all
         units change at once. Rows are shuffled by unit (a large one is split among tasks)
         and lie in the order of ``sort``. A row of a unit not named is an error.
+
+        Tasks are sized by their bytes as shuffled. Narrow rows that compress well take many
+        times that in memory: ``at_most``, how many rows each unit can have, sizes tasks by
+        rows instead, and splits a large unit by the ``spread`` columns.
         """
         self._refuse_bad(units)
         if not self.together:
@@ -98,7 +115,8 @@ class Units:
         wrong = F.raise_error(F.concat(F.lit(f"a row of another {self.column}: "), F.coalesce(F.col(self.column), F.lit("NULL"))))
         known = F.coalesce(F.col(self.column).isin(list(units)), F.lit(False))
         checked = df.filter(F.when(known, F.lit(True)).otherwise(wrong.cast("boolean"))) if units else df.limit(0)
-        laid_out = checked.hint("rebalance", self.column).sortWithinPartitions(self.column, *sort)
+        spaced = checked.hint("rebalance", self.column) if at_most is None else self._by_rows(checked, at_most, spread)
+        laid_out = spaced.sortWithinPartitions(self.column, *sort)
         folder = f"{self.root}/{ATTEMPT_COLUMN}={attempt}"
         laid_out.write.partitionBy(self.column).parquet(folder)
         written = spark.read.schema(self._stored(T.StructType())).option("basePath", self.root).parquet(folder)
@@ -106,6 +124,18 @@ class Units:
         self._append(spark, attempt, {unit: rows.get(unit, 0) for unit in units})
         return attempt
 
+    def _by_rows(self, df: DataFrame, at_most: Mapping[str, int], spread: Sequence[str]) -> DataFrame:
+        """Rows laid out so that no task gets far more than ``ROWS_PER_TASK``: a large unit has several tasks, small ones share."""
+        places, before = [], 0
+        for unit, rows in sorted(at_most.items()):
+            places.append((unit, before // ROWS_PER_TASK, tasks_for(rows)))
+            before += rows
+        tasks = max((first + parts for _, first, parts in places), default=1)
+        # one row for each unit
+        known = F.broadcast(df.sparkSession.createDataFrame(places, f"`{self.column}` string, _first int, _parts int"))
+        task = F.col("_first") + F.pmod(F.xxhash64(*spread), F.col("_parts")).cast("int")
+        return df.join(known, self.column).repartitionById(tasks, task).select(*df.columns)
+
     def _refuse_bad(self, units: Sequence[str]) -> None:
         if not all(re.fullmatch(r"\w[\w.-]*", unit) for unit in units):
             raise ValueError(f"{self.column} holds letters, digits, dots, dashes and underscores only")
